@@ -316,7 +316,7 @@ def q17_stream_bronze_silver(spark, sf_dir):
     bronze_stream(replay_stream(spark, f"{root}/log"), bronze, f"{root}/cp-bronze", now=NOW, once=True).awaitTermination()
     judged = validated(bronze.read(), *dims(), now=NOW)
     silver, bad = Table(spark, f"{root}/silver", valid(judged).schema), Table(spark, f"{root}/quarantine", quarantine(judged, NOW).schema)
-    stream = spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", 8).option("recursiveFileLookup", "true").parquet(f"{root}/bronze/data")
+    stream = spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", 40).option("recursiveFileLookup", "true").parquet(f"{root}/bronze/data")
     silver_stream(stream, silver, bad, dims, f"{root}/cp-silver", now=NOW, once=True).awaitTermination()
     return flat(silver.read().select(*_STREAMED, "reading_timestamp"))
 
