@@ -18,9 +18,12 @@ all of theirs.
 
 Candidates are checked exactly. Members of a signature group are first compared
 with one central member, then, only where a group still holds more than one
-component, with 4, 16, 64 ... of its members, until every pair of the group is
-compared or known to be connected: no link between different components can be
-missed, and no group is expanded into pairs up front.
+component, with 16, 256, 4096 ... more of its members, until every pair of the
+group is compared or known to be connected: no link between different components
+can be missed, and no group is expanded into pairs up front. Every set carries a
+sketch of ``64 WORDS`` bits, in which each element flips one bit: two sketches
+differ in no more bits than the sets in elements, so pairs whose sketches differ
+in more than k bits are no links and never leave the join.
 """
 
 from __future__ import annotations
@@ -31,9 +34,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Workspace, batches_of, binary_values, connected, hash_words, mix64, partitions, roll
 
+#: Longs of a set's parity sketch.
+WORDS = 8
 #: Candidate ids are broadcast up to this number (8 bytes each), else joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -52,6 +58,12 @@ def set_key(s: np.ndarray) -> int:
     return int(mix64(mix64(s, 11).sum(dtype=np.uint64)[None] + np.uint64(len(s)), 12).view(np.int64)[0])
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the set's elements in 64 WORDS cells, as longs."""
+    odd = np.bincount((mix64(s, 31) % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def bands_up_to(size: int, threshold: int) -> list[tuple[int, int]]:
     out, low = [], 1
     while low <= size:
@@ -151,22 +163,23 @@ def _signed(n: int, threshold: int, n2: int, k2: int):
 
 
 def _sets(n: int):
-    """Rows (key, items) of the documents given."""
+    """Rows (key, items, s0, s1 ...) of the documents given: sets and their sketches."""
 
     def run(batches):
         for b in batches:
             texts = binary_values(b.column(0))
             for span in batches_of(texts, 4_000_000):
-                done, keys, items = set(), [], []
+                done, keys, items, bits = set(), [], [], []
                 for i in span:
                     s = shingle_set(texts[i], n)
                     if len(s) and (key := set_key(s)) not in done:
                         done.add(key)
                         keys.append(key)
                         items.append(s.view(np.int64))
+                        bits.append(sketch(s))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(items, pa.list_(pa.int64()))],
-                    ["key", "items"],
+                    [pa.array(keys, pa.int64()), pa.array(items, pa.list_(pa.int64())), *(pa.array([b[i] for b in bits], pa.int64()) for i in range(WORDS))],
+                    ["key", "items", *(f"s{i}" for i in range(WORDS))],
                 )
 
     return run
@@ -198,24 +211,24 @@ def jaccard_components(
     id_type = narrow.schema["id"].dataType.simpleString()
     keyed = work.put(narrow.mapInArrow(_keys("text", "id", shingle), f"id {id_type}, n_shingles long, key long"))
 
-    parts = partitions(spark)
+    # Both readers of ``signed`` take the same columns, none of which can be null,
+    # and filter only above their own operator, so that they share one exchange.
+    kinds = {"sig": T.LongType(), "key": T.LongType(), "n": T.IntegerType(), "local": T.ByteType(), "shared": T.ByteType()}
     signed = (
         narrow.select("text")
-        .mapInArrow(_signed(shingle, threshold, n2, k2), "sig long, key long, n int, local byte, shared byte")
-        .withColumn("salt", F.when(F.col("local") == 1, F.pmod("key", F.lit(64)) + 1).otherwise(0))
-        .repartition(parts, "sig", "salt")
+        .mapInArrow(_signed(shingle, threshold, n2, k2), T.StructType([T.StructField(c, k, False) for c, k in kinds.items()]))
+        .withColumn("salt", F.expr("if(local = 1, cast(key & 63 as int) + 1, 0)"))
+        .repartition(partitions(spark), "sig", "salt")
     )
-    # Both readers of ``signed`` take the same columns and filter only above
-    # their own operator, so that they share one exchange.
     met = (
         signed.groupBy("sig", "salt")
         .agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.max("shared").alias("shared"), F.max("local").alias("local"), F.min("n").alias("n"))
-        .filter("local = 0 and (lo != hi or shared = 1) and n is not null")
+        .filter("local = 0 and (lo != hi or shared = 1) and n > 0")
         .select("sig", "salt", F.lit(True).alias("met"))
     )
     mates = work.put(
         signed.join(met.hint("shuffle_hash"), ["sig", "salt"], "left")
-        .filter("(met or local = 1) and shared is not null")
+        .filter("met or local = 1 or shared = 2")  # shared is 0 or 1; named to keep the column
         .select("sig", "key", "n")
         .distinct()
     )
@@ -231,10 +244,12 @@ def jaccard_components(
         some = narrow.join(ids.select("id"), "id", "left_semi")
     if keyed.filter("id is null and key is not null").limit(1).count():
         some = some.unionByName(narrow.filter("id is null"))
-    sets = work.put(some.select("text").mapInArrow(_sets(shingle), "key long, items array<long>").dropDuplicates(["key"]))
-    rows = work.put(mates.join(rank, "key"))
+    bits = [f"s{i}" for i in range(WORDS)]
+    sets = work.put(some.select("text").mapInArrow(_sets(shingle), f"key long, items array<long>, {', '.join(f'{x} long' for x in bits)}").dropDuplicates(["key"]))
+    rows = work.put(mates.join(rank, "key").join(sets.drop("items"), "key"))
     work.drop(mates)
 
+    differ = " + ".join(f"bit_count(a.{x} ^ b.{x})" for x in bits)
     links, roots, tried, width = [], None, 0, 1
     while True:
         now = rows if roots is None else rows.join(roots, rows.key == roots.node, "left").drop("node")
@@ -246,7 +261,7 @@ def jaccard_components(
             if not now.limit(1).count():
                 break
         heads = work.put(
-            now.select("sig", "key", "n", "root", "weight")
+            now.select("sig", "key", "n", "root", "weight", *bits)
             .withColumn("at", F.expr("row_number() over (partition by sig order by weight desc, key)"))
             .filter((F.col("at") <= tried + width) & (F.col("at") > tried))
         )
@@ -257,6 +272,7 @@ def jaccard_components(
                 F.expr(
                     "a.key != b.key and a.root != b.root"
                     f" and 100 * least(a.n, b.n) >= {threshold} * greatest(a.n, b.n)"
+                    f" and {differ} <= (a.n + b.n) * {100 - threshold} div {100 + threshold}"
                 )
             )
             .select(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v"))
@@ -278,7 +294,7 @@ def jaccard_components(
             for more in links[1:]:
                 edges = edges.union(more)
             roots = connected(edges, work)
-        tried, width = tried + width, 4 * width
+        tried, width = tried + width, 16 * width
 
     nodes = keyed.filter("key is not null").groupBy("key").agg(F.min("id").alias("least"))
     if roots is None:
