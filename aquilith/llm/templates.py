@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, binary_values, row_key
+from .common import Workspace, batches_of, binary_values, row_key
 
 _FIELD = re.compile(rb"[^ \t-\r]*[0-9][^ \t-\r]*")
 
@@ -111,7 +111,8 @@ def recurring_lines(
         F.xxhash64(F.col(f"`{text_col}`")).alias("content"),
     )
     id_type = narrow.schema["id"].dataType.simpleString()
-    lines = narrow.mapInArrow(_lines(lead, fields, min_tokens), f"template long, id {id_type}, key long, content long, line int")
+    work = Workspace(docs.sparkSession, "templates")
+    lines = work.put(narrow.mapInArrow(_lines(lead, fields, min_tokens), f"template long, id {id_type}, key long, content long, line int"))
     # by (template, content) first: a hot template is spread over its texts
     first = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "key"))
     recurring = (
@@ -121,7 +122,9 @@ def recurring_lines(
         .agg(F.count("*").alias("texts"), F.min("first").alias("first"))
         .filter(F.col("texts") >= min_docs)
     )
-    hit = lines.select("template", "id", "key", "line").join(recurring.select("template", "first"), "template")
+    # written, so that the join deals both sides itself and may split a hot template
+    recurring = work.put(recurring.select("template", "first"))
+    hit = lines.select("template", "id", "key", "line").join(recurring, "template")
     if keep_first:
         hit = hit.filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))))
     return hit.groupBy("id", "key").agg(F.collect_set("line").alias("dropped")).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("dropped").alias("_dropped"))
