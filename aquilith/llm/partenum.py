@@ -64,6 +64,30 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(s: np.ndarray) -> np.ndarray:
+    """The same with as many bits as the next power of two from the set's size, 64 at least."""
+    bits = max(64, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount((mix64(s, 32) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _far_apart(threshold: int) -> str:
+    """SQL: whether the wide sketches of sets a and b differ in more bits than linked sets can.
+
+    Cells are hashes modulo a power of two, so the halves of a longer sketch
+    fold into one of half its length.
+    """
+
+    def folded(x: str, y: str) -> str:
+        half = f"cast(size({x}.wide) div 2 as int)"
+        fold = f"zip_with(slice({x}.wide, 1, {half}), slice({x}.wide, {half} + 1, {half}), (p, q) -> p ^ q)"
+        return f"if(size({x}.wide) = 2 * size({y}.wide), {fold}, {x}.wide)"
+
+    bits = f"aggregate(zip_with({folded('a', 'b')}, {folded('b', 'a')}, (p, q) -> bit_count(p ^ q)), 0, (t, x) -> t + x)"
+    near = "size(a.wide) in (size(b.wide), 2 * size(b.wide), cast(size(b.wide) div 2 as int))"
+    return f"if({near}, {bits} > (a.size + b.size) * {100 - threshold} div {100 + threshold}, false)"
+
+
 def bands_up_to(size: int, threshold: int) -> list[tuple[int, int]]:
     out, low = [], 1
     while low <= size:
@@ -169,7 +193,7 @@ def _sets(n: int):
         for b in batches:
             texts = binary_values(b.column(0))
             for span in batches_of(texts, 4_000_000):
-                done, keys, items, bits = set(), [], [], []
+                done, keys, items, bits, wides = set(), [], [], [], []
                 for i in span:
                     s = shingle_set(texts[i], n)
                     if len(s) and (key := set_key(s)) not in done:
@@ -177,9 +201,10 @@ def _sets(n: int):
                         keys.append(key)
                         items.append(s.view(np.int64))
                         bits.append(sketch(s))
+                        wides.append(wide_sketch(s))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(items, pa.list_(pa.int64())), *(pa.array([b[i] for b in bits], pa.int64()) for i in range(WORDS))],
-                    ["key", "items", *(f"s{i}" for i in range(WORDS))],
+                    [pa.array(keys, pa.int64()), pa.array(items, pa.list_(pa.int64())), pa.array(wides, pa.list_(pa.int64())), *(pa.array([b[i] for b in bits], pa.int64()) for i in range(WORDS))],
+                    ["key", "items", "wide", *(f"s{i}" for i in range(WORDS))],
                 )
 
     return run
@@ -245,8 +270,8 @@ def jaccard_components(
     if keyed.filter("id is null and key is not null").limit(1).count():
         some = some.unionByName(narrow.filter("id is null"))
     bits = [f"s{i}" for i in range(WORDS)]
-    sets = work.put(some.select("text").mapInArrow(_sets(shingle), f"key long, items array<long>, {', '.join(f'{x} long' for x in bits)}").dropDuplicates(["key"]))
-    rows = work.put(mates.join(rank, "key").join(sets.drop("items"), "key"))
+    sets = work.put(some.select("text").mapInArrow(_sets(shingle), f"key long, items array<long>, wide array<long>, {', '.join(f'{x} long' for x in bits)}").dropDuplicates(["key"]))
+    rows = work.put(mates.join(rank, "key").join(sets.drop("items", "wide"), "key"))
     work.drop(mates)
 
     differ = " + ".join(f"bit_count(a.{x} ^ b.{x})" for x in bits)
@@ -275,9 +300,14 @@ def jaccard_components(
                     f" and {differ} <= (a.n + b.n) * {100 - threshold} div {100 + threshold}"
                 )
             )
-            .select(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v"))
+            .select(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v"), F.when(F.expr("a.key < b.key"), F.col("a.n")).otherwise(F.col("b.n")).alias("un"), F.when(F.expr("a.key < b.key"), F.col("b.n")).otherwise(F.col("a.n")).alias("vn"))
             .distinct()
         )
+        # long sets outgrow the short sketch: a sketch of their size goes first, whole sets only for what is left
+        a = sets.select(F.col("key").alias("u"), F.col("wide").alias("aw"))
+        b = sets.select(F.col("key").alias("v"), F.col("wide").alias("bw"))
+        sketched = pairs.join(a, "u").join(b, "v").select("u", "v", F.struct(F.col("aw").alias("wide"), F.col("un").alias("size")).alias("a"), F.struct(F.col("bw").alias("wide"), F.col("vn").alias("size")).alias("b"))
+        pairs = work.put(sketched.filter(f"not {_far_apart(threshold)}").select("u", "v"))
         left = sets.select(F.col("key").alias("u"), F.col("items").alias("left"))
         right = sets.select(F.col("key").alias("v"), F.col("items").alias("right"))
         found = (

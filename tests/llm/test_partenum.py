@@ -87,3 +87,24 @@ def test_long_text(documents):
     text = " ".join(f"t{i % 9973}" for i in range(60_000))
     got = {tuple(r)[2] for r in jaccard_components(documents([(5, text), (4, text + " end")])).collect()}
     assert got == {4}
+
+
+def test_sketches_bound_the_difference(spark):
+    import numpy as np
+
+    from aquilith.llm.partenum import _far_apart, sketch, wide_sketch
+
+    rng = np.random.default_rng(1)
+    rows = []
+    for n in (1, 5, 60, 64, 65, 130, 700):
+        for d in (0, 1, 3, n // 8, n):
+            base = rng.integers(0, 1 << 60, n + d, dtype=np.uint64)
+            a, b = np.unique(base[:n]), np.unique(base[d:])
+            differ = len(np.setxor1d(a, b))
+            assert sum(int(x).bit_count() for x in (sketch(a) ^ sketch(b)).view(np.uint64)) <= differ
+            both = len(np.intersect1d(a, b))
+            rows.append((wide_sketch(a).tolist(), len(a), wide_sketch(b).tolist(), len(b), 100 * both >= 80 * (len(a) + len(b) - both)))
+    df = spark.createDataFrame(rows, "aw array<long>, an int, bw array<long>, bn int, link boolean")
+    df = df.selectExpr("named_struct('wide', aw, 'size', an) as a", "named_struct('wide', bw, 'size', bn) as b", "link")
+    got = df.selectExpr("link", f"{_far_apart(80)} as far").collect()
+    assert not any(r.link and r.far for r in got) and sum(r.far for r in got) >= 5
