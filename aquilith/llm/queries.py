@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, fingerprints, language, mixing, packing, partenum, pieces, secrets, spans, templates
+from . import fertility, fingerprints, language, mixing, oracles, packing, partenum, pieces, secrets, spans, templates
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +77,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_sentence_spans": oracles.SENTENCE_SPANS,
+    "op4_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op6_mixing": oracles.MIXING,
+    "op7_line_templates": oracles.LINE_TEMPLATES,
+    "op8_secret_ownership": oracles.SECRETS,
+}
