@@ -9,6 +9,7 @@ from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,15 @@ def batches_of(values: list, size: int):
         yield range(start, len(values))
 
 
+def slices_of(batch: pa.RecordBatch, column: int, size: int):
+    """Consecutive slices of a batch whose texts hold about ``size`` bytes together."""
+    held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(held // size)) + 1).tolist(), len(held)]
+    for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

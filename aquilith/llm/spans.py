@@ -15,10 +15,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, binary_values, mix64, hash_words, partitions, row_key
+from .common import binary_values, hash_words, mix64, row_key, slices_of
 
 _END = re.compile(rb"[.!?][ \t-\r]+|\n[ \t-\r]*")
 
@@ -73,51 +74,51 @@ def _runs(span: int, span_words: int, min_words: int):
     """
 
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices_of(whole, 2, 8_000_000)):
             texts = binary_values(b.column(2))
             all_ids, all_keys = b.column(0), b.column(1).to_numpy(zero_copy_only=False)
             # in the order by which the first is chosen; nulls last
-            ids = np.array([(x is None, x if x is not None else 0) for x in all_ids.to_pylist()], dtype=[("null", bool), ("id", object)])
+            order_of = [(x is None, x if x is not None else 0, k) for x, k in zip(all_ids.to_pylist(), all_keys.tolist(), strict=True)]
             rank = np.empty(len(texts), np.int64)
-            for r, i in enumerate(sorted(range(len(texts)), key=lambda i: (ids[i]["null"], ids[i]["id"], all_keys[i]))):
-                rank[i] = r
-            for group in batches_of(texts, 8_000_000):
-                got, done = [], set()
-                for i in group:
-                    if texts[i] and (same := (ids[i]["null"], ids[i]["id"], all_keys[i])) not in done:
-                        done.add(same)
-                        h, start, length = runs(texts[i], span, span_words, min_words)
-                        got.append((h, np.full(len(h), i), start, length))
-                if not got:
-                    continue
-                h, row, start, length = (np.concatenate(x) for x in zip(*got, strict=True))
-                order = np.lexsort((start, rank[row], h))
-                h, row, start, length = h[order], row[order], start[order], length[order]
-                again = np.zeros(len(h), np.int8)
-                again[1:] = h[1:] == h[:-1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), all_ids.take(pa.array(row)), pa.array(all_keys[row]), pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(again)],
-                    ["hash", "id", "key", "start", "length", "again"],
-                )
+            rank[sorted(range(len(texts)), key=order_of.__getitem__)] = np.arange(len(texts))
+            got, done = [], set()
+            for i, text in enumerate(texts):
+                if text and order_of[i] not in done:
+                    done.add(order_of[i])
+                    h, start, length = runs(text, span, span_words, min_words)
+                    got.append((h, np.full(len(h), i), start, length))
+            if not got:
+                continue
+            h, row, start, length = (np.concatenate(x) for x in zip(*got, strict=True))
+            order = np.lexsort((start, rank[row], h))
+            h, row, start, length = h[order], row[order], start[order], length[order]
+            again = np.zeros(len(h), np.int8)
+            again[1:] = h[1:] == h[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h.view(np.int64)), all_ids.take(pa.array(row)), pa.array(all_keys[row]), pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(again)],
+                ["hash", "id", "key", "start", "length", "again"],
+            )
 
     return run
 
 
 def _without(batches):
-    for b in batches:
-        texts, dropped = binary_values(b.column(2)), b.column(3).to_pylist()
+    """Texts without the sentences that the runs of column 3 (start in the high half, length in the low) cover."""
+    for b in (part for whole in batches for part in slices_of(whole, 2, 2_000_000)):
+        counts = pc.fill_null(pc.list_value_length(b.column(3)), 0).to_numpy(zero_copy_only=False)
+        dropped, end = b.column(3).flatten().to_numpy(), np.cumsum(counts)
         out, total, gone = [], [], []
-        for t, d in zip(texts, dropped, strict=True):
+        for t, n, e in zip(binary_values(b.column(2)), counts, end, strict=True):
             parts = sentences(t) if t else []
             cover = np.zeros(len(parts) + 1, np.int64)
-            for x in d or ():
-                cover[x["start"]] += 1
-                cover[x["start"] + x["length"]] -= 1
-            covered = np.cumsum(cover)[:-1] > 0
+            mine = dropped[e - n : e]
+            np.add.at(cover, mine >> 32, 1)
+            np.add.at(cover, (mine >> 32) + (mine & 0xFFFFFFFF), -1)
+            covered = (np.cumsum(cover)[:-1] > 0).tolist()
             out.append(None if t is None else b"".join(p for p, c in zip(parts, covered, strict=True) if not c))
-            full = [bool(p.split()) for p in parts]
+            full = [not p.isspace() for p in parts]
             total.append(sum(full))
-            gone.append(sum(f and bool(c) for f, c in zip(full, covered, strict=True)))
+            gone.append(sum(f and c for f, c in zip(full, covered, strict=True)))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(out, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
             ["id", "key", "text", "n_sentences", "n_removed"],
@@ -149,7 +150,7 @@ def dedup_spans(
         .withColumn("rank", F.expr("rank() over (partition by hash, salt order by id nulls last, key, start)"))
         .filter("again = 1 or rank > 1")
         .groupBy("id", "key")
-        .agg(F.collect_set(F.struct("start", "length")).alias("dropped"))
+        .agg(F.collect_set(F.expr("shiftleft(cast(start as bigint), 32) + length")).alias("dropped"))
         .select(F.col("id").alias("_id"), F.col("key").alias("_key"), "dropped")
     )
     cut = narrow.join(removed, narrow.id.eqNullSafe(removed["_id"]) & (narrow.key == removed["_key"]), "left").select("id", "key", "text", "dropped")
