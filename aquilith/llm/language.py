@@ -8,6 +8,10 @@ which one ridge regression a language is solved, each against the rest. A batch
 is scored by two matrix products: presence rows by landmark columns, then by
 the regressions' weights.
 
+Presence rows fill up as a text grows, so a text longer than ``BLOCK`` is scored
+in equal blocks of at most that length, all of it, and its scores are the
+blocks' mean: they depend on what a text holds, not on how long it is.
+
 Only a bounded sample of labelled rows is fitted: ``per_language`` documents of
 each language, those with the least hash of their id.
 """
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import batches_of, binary_values
 
 UNDETERMINED = "und"
+#: Characters of a text that are scored together.
+BLOCK = 4000
 
 
 def features(text: str, width: int, longest: int) -> np.ndarray:
@@ -50,6 +57,16 @@ def presence(texts: list[str], width: int, longest: int) -> tuple[np.ndarray, np
     return x, np.sqrt(np.maximum(x.sum(axis=1), 1))
 
 
+def blocks_of(text: str, size: int = BLOCK):
+    """The text in equal parts of at most ``size`` characters; an empty text is one part."""
+    n = max(1, -(-len(text) // size))
+    return (text[len(text) * i // n : len(text) * (i + 1) // n] for i in range(n))
+
+
+def _lettered(text: str):
+    return filter(has_letter, blocks_of(text)) if has_letter(text) else blocks_of(text)
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -63,6 +80,16 @@ class Model:
         k = (x @ self.landmarks) / norm[:, None]
         return np.hstack([k, np.ones((len(k), 1), np.float32)]) @ self.weights
 
+    def whole_scores(self, texts: list[str]) -> np.ndarray:
+        """The mean scores of each text's blocks; blocks without a letter count only where there are no others."""
+        total, number = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        blocks = ((i, b) for i, t in enumerate(texts) for b in _lettered(t))
+        while part := list(islice(blocks, 256)):
+            at = [i for i, _ in part]
+            np.add.at(total, at, self.scores([b for _, b in part]))
+            np.add.at(number, at, 1)
+        return total / number[:, None]
+
 
 def fit(texts: list[str], labels: list[str], *, width: int, longest: int, landmarks: int, ridge: float) -> Model:
     """Nyström features over evenly drawn landmarks, then one-versus-rest ridge regression."""
@@ -119,20 +146,27 @@ def train(
     return fit([s[2] for s in sample], [s[3] for s in sample], width=width, longest=longest, landmarks=landmarks, ridge=ridge)
 
 
+def _judge(model: Model | None, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Each text's language, its score, and the margin of its raw score over the next language's."""
+    langs, scores, margins = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    texts = [t.decode("utf-8", "replace") if t is not None else "" for t in texts]
+    able = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
+    for span in batches_of([texts[i] for i in able], 2_000_000):
+        rows = able[span.start : span.stop]
+        s = model.whole_scores([texts[i] for i in rows])
+        best = s.argmax(axis=1)
+        top = s[np.arange(len(rows)), best]
+        margins[rows] = top - np.partition(s, -2, axis=1)[:, -2] if s.shape[1] > 1 else np.inf
+        scores[rows] = np.clip((top + 1) / 2, 0, 1)
+        for i, j in zip(rows, best, strict=True):
+            langs[i] = model.languages[j]
+    return langs, scores, margins
+
+
 def _predict(model: Model | None):
     def run(batches):
         for b in batches:
-            texts = binary_values(b.column(1))
-            langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            texts = [t.decode("utf-8", "replace") if t is not None else "" for t in texts]
-            able = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
-            for span in batches_of([texts[i] for i in able], 2_000_000):
-                for at in range(span.start, span.stop, 256):
-                    rows = able[at : min(at + 256, span.stop)]
-                    s = model.scores([texts[i] for i in rows])
-                    best = s.argmax(axis=1)
-                    for i, j, v in zip(rows, best, s[np.arange(len(rows)), best], strict=True):
-                        langs[i], scores[i] = model.languages[j], min(1.0, max(0.0, (float(v) + 1) / 2))
+            langs, scores, _ = _judge(model, binary_values(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(langs), pa.array(scores)], ["id", "held_out", "lang_pred", "score"])
 
     return run
@@ -160,18 +194,19 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
     return out.withColumnRenamed("id", id_col)
 
 
-def keep_identified(docs: DataFrame, model: Model | None, *, text_col: str = "text", least: float = 0.5, languages: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is told with score ``least`` or more."""
+def keep_identified(docs: DataFrame, model: Model | None, *, text_col: str = "text", margin: float = 0.025, languages: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is told: not ``und``, and ``margin`` or more ahead of the next.
+
+    The score itself rejects nothing, as it is low for short texts however
+    clear. Texts in a language that was not learned are not told from others.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     allowed = set(languages) if languages is not None else None
 
     def run(batches):
         for b in batches:
-            at = b.schema.get_field_index(text_col)
-            column = b.column(at)
-            probe = pa.RecordBatch.from_arrays([column, column, pa.array([False] * len(b))], ["id", "text", "held_out"])
-            for p in _predict(sent.value)([probe]):
-                ok = [x != UNDETERMINED and s >= least and (allowed is None or x in allowed) for x, s in zip(p.column(2).to_pylist(), p.column(3).to_pylist(), strict=True)]
-                yield b.filter(pa.array(ok, pa.bool_()))
+            langs, _, margins = _judge(sent.value, binary_values(b.column(b.schema.get_field_index(text_col))))
+            ok = [x != UNDETERMINED and m >= margin and (allowed is None or x in allowed) for x, m in zip(langs, margins.tolist(), strict=True)]
+            yield b.filter(pa.array(ok, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

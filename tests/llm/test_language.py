@@ -65,3 +65,33 @@ def test_prediction_ignores_labels(real, model):
     a = {tuple(r) for r in identify(real.limit(50), model).collect()}
     b = {tuple(r) for r in identify(real.limit(50).withColumn("lang", F.lit("zz")).withColumn("source", F.lit(None)), model).collect()}
     assert a == b
+
+
+def test_long_and_short_texts_are_told_and_kept(spark, documents, real, model):
+    held = real.filter("crc32(cast(cast(doc_id as string) as binary)) % 3 = 1 and text is not null").select("lang", "text").orderBy("doc_id").collect()
+    rows = []
+    for k, lang in enumerate(model.languages):
+        own = " ".join(r.text for r in held if r.lang == lang)
+        for j, size in enumerate((1_000_000, 5_000_000)):
+            rows.append((10 * k + j, (own * (size // len(own) + 1))[:size], lang))
+    short = [("the people", "en"), ("that was the", "en"), ("und die der", "de")]
+    rows += [(100 + i, t, lang) for i, (t, lang) in enumerate(short)]
+    docs = documents(rows)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify(docs, model).collect()}
+    assert {i: lang for i, _, lang in rows} == {i: lang for i, (lang, _) in got.items()}
+    assert all(score > 0.8 for i, (_, score) in got.items() if i < 100)
+    assert keep_identified(docs, model).count() == len(rows)
+
+
+def test_score_does_not_fall_with_length(real, model):
+    text = max((r.text for r in real.filter("lang = 'de'").select("text").collect()), key=len)
+    text = (text * (4000 // len(text) + 1))[:4000]
+    assert np.allclose(model.whole_scores([text * 50]), model.whole_scores([text]), atol=0.02)
+    assert np.allclose(model.whole_scores([text + "1 2 3 4 " * 50_000])[0], model.whole_scores([text])[0], atol=0.3)
+    assert np.allclose(model.whole_scores([text[:3000]]), model.scores([text[:3000]]))
+
+
+def test_texts_between_two_languages_are_not_kept(documents):
+    m = fit(["abab", "xyxy"], ["p", "q"], width=1 << 14, longest=3, landmarks=2, ridge=0.1)
+    kept = keep_identified(documents([(1, "abab"), (2, "xyxy"), (3, "abab xyxy"), (4, "ab")]), m)
+    assert {r.doc_id for r in kept.collect()} == {1, 2, 4}
