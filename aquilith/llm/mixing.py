@@ -147,9 +147,13 @@ def mix(
     return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 20) -> DataFrame:
-    """The mix itself: each row of ``docs``, all columns, as often as it is taken."""
+def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 20, copy_col: str | None = None) -> DataFrame:
+    """The mix itself: each row of ``docs``, all columns, as often as it is taken.
+
+    ``copy_col`` names a column to add, which numbers the copies of a row from 1.
+    """
     work = Workspace(docs.sparkSession, "mixing")
     cuts = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, cap=cap, seed=seed, work=work)
     rows = _with_copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, cuts=cuts)
-    return rows.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    copies = rows.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return copies.select("row.*", *([] if copy_col is None else [F.col("copy").alias(copy_col)]))

@@ -4,13 +4,16 @@ The vocabulary is read from a public SentencePiece model; encoding is our own
 agenda over symbols: in each chunk (a run of spaces and the word behind it) the
 best-scored adjacent merge is done first, the leftmost of equals, until none is
 left. With ``dropout`` p every candidate merge (chunk, place, left and merged
-piece) is skipped when its keyed hash falls under p, so a seed and variant give
-one segmentation, repeatably, and other seeds or variants give others.
+piece) is skipped when its keyed hash falls under p. The key is of the seed, the
+text's draw (in ``encode_docs`` the document and copy) and the chunk's number in
+the text, so every occurrence of a word is cut by itself, yet repeatably.
 Characters without a piece become byte pieces; decoding is lossless.
 
 Chunks are merged many at a time: each round scores all adjacent pairs of the
-chunks still active and does one merge in each. Segmentations are kept in a
-bounded cache by (variant, chunk).
+chunks still active and does one merge in each. What is kept, in a bounded cache,
+is each chunk's segmentation without dropout and the merges that lead to it: an
+occurrence that skips none of those is cut alike, and only the others are merged
+anew.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import hashlib
 import heapq
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -93,16 +97,26 @@ class Pieces:
             rest, at = rest[go], (at[go] + 1) & self.mask
         return out
 
-    def encode_chunks(self, chunks: list[str], key: int = 0, dropout: float = 0.0) -> list[bytes]:
-        """Little-endian 16-bit ids of each chunk."""
+    def encode_chunks(self, chunks: list[str], key: int | np.ndarray = 0, dropout: float = 0.0, path: list | None = None) -> list[bytes]:
+        """Little-endian 16-bit ids of each chunk; ``key`` is one, or one a chunk.
+
+        ``path`` gets the merges done, in no order: arrays of (chunk number, hash of place and merge).
+        """
         if not chunks:
             return []
         if max(map(len, chunks)) <= LONG:
-            return self._rounds(chunks, key, dropout)
-        short = self._rounds([c if len(c) <= LONG else " " for c in chunks], key, dropout)
-        return [ids if len(c) <= LONG else self._heap(c, key, dropout) for c, ids in zip(chunks, short, strict=True)]
+            return self._rounds(chunks, key, dropout, path)
+        out = self._rounds([c if len(c) <= LONG else " " for c in chunks], key, dropout, path)
+        for i, c in enumerate(chunks):
+            if len(c) > LONG:
+                done: list | None = None if path is None else []
+                out[i] = self._heap(c, key if np.ndim(key) == 0 else int(key[i]), dropout, done)
+                if done:
+                    pos, left, merged = np.array(done, np.int64).T
+                    path.append((np.full(len(done), i, np.int32), self._merge_hash(pos, left, merged)))
+        return out
 
-    def _rounds(self, chunks: list[str], key: int, dropout: float) -> list[bytes]:
+    def _rounds(self, chunks: list[str], key: int | np.ndarray, dropout: float, path: list | None) -> list[bytes]:
         n = len(chunks)
         lengths = np.fromiter(map(len, chunks), np.int32, n)
         begin = np.cumsum(lengths) - lengths
@@ -136,6 +150,8 @@ class Pieces:
             spread = np.diff(np.append(first, len(sym)))
             on = np.repeat(best < _WORST, spread)
             pick = np.flatnonzero((score == np.repeat(best, spread)) & on)
+            if path is not None:
+                path.append((own[pick], self._merge_hash(pos[pick], sym[pick], merged[pick])))
             sym[pick] = merged[pick]
             keep = on.copy()
             keep[pick + 1] = False
@@ -147,8 +163,10 @@ class Pieces:
             if len(sym):
                 merged[now], score[now] = -1, _WORST
                 before = now[now > 0] - 1
-                at = np.unique(np.concatenate([before[own[before] == own[before + 1]], now[now < len(sym) - 1]]))
-                rate(at)
+                near = np.zeros(len(sym), bool)
+                near[before[own[before] == own[before + 1]]] = True
+                near[now[now < len(sym) - 1]] = True
+                rate(np.flatnonzero(near))
         sym, own, pos = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (sym, own, pos)
         order = np.argsort(own, kind="stable")
         sym, own, pos = sym[order], own[order], pos[order]
@@ -167,20 +185,39 @@ class Pieces:
         return np.array(ids, "<u2").tobytes()
 
     @staticmethod
-    def _salts(codes: np.ndarray, pos: np.ndarray, begin: np.ndarray, lengths: np.ndarray, key: int) -> np.ndarray:
-        """A keyed hash of each chunk's characters."""
+    def _sums(codes: np.ndarray, pos: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """A hash of each chunk's characters."""
         out = np.zeros(len(lengths), np.uint64)
         full = np.flatnonzero(lengths)
         if len(full):
             each = mix64((codes.astype(np.uint64) << np.uint64(32)) + pos.astype(np.uint64), 70)
             out[full] = np.add.reduceat(each, begin[full])
-        return mix64(out + np.uint64(key), 73)
+        return out
+
+    @staticmethod
+    def _keyed(sums: np.ndarray, key: int | np.ndarray) -> np.ndarray:
+        return mix64(sums + (np.uint64(key) if np.ndim(key) == 0 else key), 73)
+
+    @classmethod
+    def _salts(cls, codes: np.ndarray, pos: np.ndarray, begin: np.ndarray, lengths: np.ndarray, key: int | np.ndarray) -> np.ndarray:
+        """A keyed hash of each chunk's characters."""
+        return cls._keyed(cls._sums(codes, pos, begin, lengths), key)
 
     @staticmethod
-    def _draw(salt, pos, left, merged) -> np.ndarray:
-        return mix64(salt + mix64((pos.astype(np.uint64) << np.uint64(32)) | (left.astype(np.uint64) << np.uint64(16)) | merged.astype(np.uint64), 71), 72)
+    def _merge_hash(pos, left, merged) -> np.ndarray:
+        return mix64((pos.astype(np.uint64) << np.uint64(32)) | (left.astype(np.uint64) << np.uint64(16)) | merged.astype(np.uint64), 71)
 
-    def _heap(self, chunk: str, key: int, dropout: float) -> bytes:
+    @classmethod
+    def _draw(cls, salt, pos, left, merged) -> np.ndarray:
+        return mix64(salt + cls._merge_hash(pos, left, merged), 72)
+
+    def sums(self, chunks: list[str]) -> np.ndarray:
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        begin = np.cumsum(lengths) - lengths
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
+        return self._sums(codes, np.arange(len(codes)) - np.repeat(begin, lengths), begin, lengths)
+
+    def _heap(self, chunk: str, key: int, dropout: float, path: list | None = None) -> bytes:
         """The same agenda for one long chunk, in n log n steps."""
         codes = np.frombuffer(chunk.encode("utf-32-le", "surrogatepass"), np.uint32)
         sym, n = self.of_char[codes].tolist(), len(codes)
@@ -202,6 +239,8 @@ class Pieces:
             _, i, j, a, b, m = heapq.heappop(agenda)
             if sym[i] != a or after[i] != j or sym[j] != b:
                 continue
+            if path is not None:
+                path.append((i, a, m))
             sym[i], sym[j], after[i] = m, -2, after[j]
             if after[j] < n:
                 before[after[j]] = i
@@ -231,27 +270,38 @@ def slices(text: str, size: int = 1_000_000):
 
 
 class Encoder:
-    """Encodes texts of one vocabulary, seed and dropout; keeps segmentations."""
+    """Encodes texts of one vocabulary, seed and dropout; keeps segmentations without dropout.
+
+    ``variants`` only says how many draws a caller deals out: ``ids`` takes any.
+    """
 
     def __init__(self, path: str = MODEL, *, seed: int = 0, dropout: float = 0.0, variants: int = 1):
         self.pieces, self.seed, self.dropout, self.variants = load(path), seed, dropout, variants if dropout else 1
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self._clear()
 
-    def variant(self, row: object) -> int:
-        """A row's variant, from its id."""
-        return xxhash.xxh64_intdigest(repr(row).encode(), self.seed) % self.variants
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}  # of a chunk, in what follows
+        self.plain: list[bytes] = []
+        self.sums, self.hashes, self.ends = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(1, np.int64)
 
-    def _key(self, variant: int) -> int:
-        return int.from_bytes(hashlib.sha256(b"%d %d" % (self.seed, variant)).digest()[:8], "little")
+    def draw(self, row: object, copy: object = 0) -> int:
+        """The draw of a row's copy, from its id."""
+        return xxhash.xxh64_intdigest(repr((row, copy)).encode(), self.seed & 0xFFFFFFFFFFFFFFFF)
 
-    def ids(self, texts: list[str], variants: list[int]) -> list[bytes]:
-        """16-bit ids of each text; an empty text has none."""
+    def _key(self, draw: int) -> int:
+        return int.from_bytes(hashlib.sha256(b"%d %d" % (self.seed, draw)).digest()[:8], "little")
+
+    def ids(self, texts: list[str], draws: list[int]) -> list[bytes]:
+        """16-bit ids of each text by its draw; an empty text has none."""
         out: list[list[bytes]] = [[] for _ in texts]
-        work: list[tuple[int, int, list[str]]] = []
+        work: list[tuple[int, int, int, list[str]]] = []
         held = 0
         for i, t in enumerate(texts):
+            key, before = self._key(draws[i]), 0
             for part in slices(" " + t) if t else ():
-                work.append((i, variants[i], _CHUNK.findall(part)))
+                chunks = _CHUNK.findall(part)
+                work.append((i, key, before, chunks))
+                before += len(chunks)
                 held += len(part)
                 if held > 1_000_000:
                     self._flush(work, out)
@@ -259,15 +309,47 @@ class Encoder:
         self._flush(work, out)
         return [b"".join(x) for x in out]
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Keeps the chunks' segmentations, and with dropout the merges that lead to them."""
+        path: list | None = [] if self.dropout else None
+        self.number.update(zip(chunks, range(len(self.plain), len(self.plain) + len(chunks)), strict=True))
+        self.plain += self.pieces.encode_chunks(chunks, path=path)
+        if path is not None:
+            own = np.concatenate([np.zeros(0, np.int32), *(o for o, _ in path)])
+            merges = np.concatenate([np.zeros(0, np.uint64), *(h for _, h in path)])
+            self.hashes = np.concatenate([self.hashes, merges[np.argsort(own, kind="stable")]])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.bincount(own, minlength=len(chunks)))])
+            self.sums = np.concatenate([self.sums, self.pieces.sums(chunks)])
+
+    def _skipping(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which occurrences of the chunks numbered ``at`` skip a merge of their way without dropout."""
+        salt = self.pieces._keyed(self.sums[at], keys)
+        begin, number = self.ends[at], self.ends[at + 1] - self.ends[at]
+        own = np.repeat(np.arange(len(at)), number)
+        merge = np.arange(len(own)) + (begin - (np.cumsum(number) - number))[own]
+        hit = mix64(salt[own] + self.hashes[merge], 72) < np.uint64(min(int(self.dropout * 2**64), 2**64 - 1))
+        out = np.zeros(len(at), bool)
+        out[own[hit]] = True
+        return np.flatnonzero(out)
+
     def _flush(self, work: list, out: list) -> None:
-        for v in {w[1] for w in work}:
-            cache = self.cache[v]
-            if len(cache) > CACHE // self.variants:
-                cache.clear()
-            new = list({c for w in work if w[1] == v for c in w[2]}.difference(cache))
-            cache.update(zip(new, self.pieces.encode_chunks(new, self._key(v), self.dropout), strict=True))
-        for i, v, chunks in work:
-            out[i].append(b"".join(map(self.cache[v].__getitem__, chunks)))
+        if len(self.number) > CACHE:
+            self._clear()
+        every = list(chain.from_iterable(w[3] for w in work))
+        new = list(set(every).difference(self.number))
+        if new:
+            self._learn(new)
+        numbers = list(map(self.number.__getitem__, every))
+        got = list(map(self.plain.__getitem__, numbers))
+        if self.dropout and every:
+            keys = np.concatenate([mix64(np.arange(n, n + len(c)).astype(np.uint64) + np.uint64(key), 74) for _, key, n, c in work])
+            again = self._skipping(np.array(numbers), keys)
+            for i, ids in zip(again.tolist(), self.pieces.encode_chunks([every[i] for i in again.tolist()], keys[again], self.dropout), strict=True):
+                got[i] = ids
+        start = 0
+        for i, _, _, chunks in work:
+            out[i].append(b"".join(got[start : start + len(chunks)]))
+            start += len(chunks)
         work.clear()
 
     def decode(self, ids: bytes) -> str:
@@ -276,17 +358,17 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, seed: int, dropout: float, variants: int) -> Encoder:
+def encoder(path: str, seed: int, dropout: float) -> Encoder:
     """One encoder a worker, kept between tasks."""
-    return Encoder(path, seed=seed, dropout=dropout, variants=variants)
+    return Encoder(path, seed=seed, dropout=dropout)
 
 
-def _rows(path: str, seed: int, dropout: float, variants: int):
+def _rows(path: str, seed: int, dropout: float):
     def run(batches):
-        e = encoder(path, seed, dropout, variants)
+        e = encoder(path, seed, dropout)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), [t.decode("utf-8", "replace") if t is not None else None for t in binary_values(b.column(1))]
-            got = e.ids([t or "" for t in texts], [e.variant(i) for i in ids])
+            got = e.ids([t or "" for t in texts], list(map(e.draw, ids, b.column(2).to_pylist())))
             same = [None if t is None else e.decode(g) == t for t, g in zip(texts, got, strict=True)]
             sizes = np.fromiter((len(g) // 2 for g in got), np.int64, len(got))
             flat = pa.array(np.frombuffer(b"".join(got), "<u2").astype(np.int32))
@@ -304,19 +386,20 @@ def encode_docs(
     path: str = MODEL,
     seed: int = 17,
     dropout: float = 0.1,
-    variants: int = 2,
+    copy_col: str | None = None,
 ) -> DataFrame:
     """(id, n_tokens, tokens, lossless) for every row: ids of the whole text.
 
-    Documents are dealt to ``variants`` by id, so the same word is cut in
-    several ways over the corpus; equal seeds give equal ids. ``lossless`` says
-    that the ids decode to the text. A null or empty text has no tokens
-    (lossless null or true). Other columns are ignored; repeated rows come back
-    repeated and equal.
+    Every occurrence of a word is cut by itself; equal seeds give equal ids.
+    ``copy_col`` numbers the copies of a document, which are then cut differently.
+    ``lossless`` says that the ids decode to the text. A null or empty text has no
+    tokens (lossless null or true). Other columns are ignored; repeated rows of
+    one copy number come back repeated and equal.
     """
-    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    copy = F.lit(0) if copy_col is None else F.col(f"`{copy_col}`").cast("int")
+    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), copy.alias("copy"))
     id_type = narrow.schema["id"].dataType.simpleString()
-    out = narrow.mapInArrow(_rows(path, seed, dropout, variants), f"id {id_type}, n_tokens long, tokens array<int>, lossless boolean")
+    out = narrow.mapInArrow(_rows(path, seed, dropout), f"id {id_type}, n_tokens long, tokens array<int>, lossless boolean")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -327,7 +410,7 @@ def decode_docs(encoded: DataFrame, *, tokens_col: str = "tokens", text_col: str
     schema = StructType([*(f for f in encoded.schema if f.name != text_col), StructField(text_col, StringType())])
 
     def run(batches):
-        e = encoder(path, 0, 0.0, 1)
+        e = encoder(path, 0, 0.0)
         for b in batches:
             rows = b.column(b.schema.get_field_index(tokens_col)).to_pylist()
             texts = [None if r is None else e.decode(np.array(r, "<u2").tobytes()) for r in rows]

@@ -34,13 +34,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixed(docs)
+    """Documents as often as the mix takes them, the copies numbered."""
+    return mixed(docs, copy_col="copy")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with merge-dropout."""
-    return encode_docs(docs)
+    """Token ids of every document, with merge-dropout drawn for each copy."""
+    return encode_docs(docs, copy_col="copy")
 
 
 STAGES = [

@@ -86,3 +86,14 @@ def test_nulls_repeats_and_empty_tables(spark, documents):
 def test_plan_runs_no_python(documents):
     plan = mix(documents(corpus(1, 30)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_copies_are_numbered(documents):
+    docs = documents([(i, "one two three four " * (i + 1), "en", "abc"[i % 3]) for i in range(30)])
+    got = mixed(docs, copy_col="copy")
+    assert got.columns == [*docs.columns, "copy"]
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.doc_id, []).append(r["copy"])
+    assert all(sorted(c) == list(range(1, len(c) + 1)) for c in by.values()) and max(map(len, by.values())) > 1
+    assert sorted(map(tuple, got.drop("copy").collect())) == sorted(map(tuple, mixed(docs).collect()))

@@ -93,3 +93,40 @@ def test_rows_nulls_and_empty_tables(documents):
     back = {(r.doc_id, r.text) for r in decode_docs(encode_docs(docs)).collect()}
     assert back == {(r.doc_id, r.text or "") for r in docs.collect()}
     assert encode_docs(docs.limit(0)).count() == 0
+
+
+def test_every_occurrence_is_drawn_by_itself():
+    text = ("understanding international organisations " * 400)[:-1]
+    words = DROP.ids([text], [7])
+    cuts = {}
+    for w in b"".join(DROP.pieces.text[i] + b"|" for i in ids(DROP, text, 7)).split(b" ")[1:]:
+        cuts.setdefault(w.replace(b"|", b""), set()).add(w)
+    assert all(len(c) > 5 for c in cuts.values()) and len(cuts) == 3
+    assert DROP.ids([text], [7]) == words == Encoder(seed=3, dropout=0.3).ids(["x", text], [7, 7])[1:]
+
+
+def test_occurrences_equal_the_plain_agenda():
+    import numpy as np
+
+    from aquilith.llm.common import mix64
+    from aquilith.llm.pieces import _CHUNK
+
+    text = "the international banana understandings and the " + "banana" * 15 + " 日本"
+    for draw in range(20):
+        got = DROP.ids([text], [draw])[0]
+        expected = b""
+        for n, c in enumerate(_CHUNK.findall(" " + text)):
+            key = int(mix64(np.array([n], np.uint64) + np.uint64(DROP._key(draw)), 74)[0])
+            expected += DROP.pieces.encode_chunks([c], key, 0.3)[0]
+            if c.isascii():
+                assert expected.endswith(np.array(plain_dropout(DROP, c, key, 0.3), "<u2").tobytes())
+        assert got == expected
+
+
+def test_copies_of_a_document_differ(documents):
+    text = "understanding international organisations " * 20
+    one = documents([(1, text)])
+    docs = one.crossJoin(one.sparkSession.range(1, 4).withColumnRenamed("id", "copy"))
+    got = encode_docs(docs, copy_col="copy").collect()
+    assert len({tuple(r.tokens) for r in got}) == 3 and all(r.lossless for r in got)
+    assert len({tuple(r.tokens) for r in encode_docs(docs).collect()}) == 1
