@@ -9,7 +9,9 @@ constant and fields may vary in any one class. A line therefore has up to
 ``fields`` templates and no template needs a look at another line: recurrence
 is a plain count, whatever the size of a leaf.
 
-A template met in ``min_docs`` or more different texts recurs. A line with a
+A template met in ``min_docs`` or more different texts recurs; with ``long_tokens``,
+one that keeps as many tokens without a digit recurs from ``long_docs`` on, as long
+passages are not met twice by chance. A line with a
 recurring template is dropped from all documents but the template's first, the
 least id (nulls last), or from that one too with ``keep_first=False``. Texts
 are counted once however many copies they have, so copies of whole documents
@@ -30,8 +32,11 @@ from .common import Workspace, batches_of, binary_values, row_key
 _FIELD = re.compile(rb"[^ \t-\r]*[0-9][^ \t-\r]*")
 
 
-def templates(line: bytes, lead: int, fields: int, min_tokens: int) -> list[int]:
-    """The line's template ids, as signed 64-bit numbers; none if it is short."""
+def templates(line: bytes, lead: int, fields: int, min_tokens: int, long_tokens: int | None = None) -> list[int]:
+    """The line's template ids, as signed 64-bit numbers; none if it is short.
+
+    With ``long_tokens``, the lowest bit says whether the template keeps as many tokens without a digit.
+    """
     tokens = _FIELD.sub(b"<*>", line).split()
     n = len(tokens)
     if n < min_tokens:
@@ -42,16 +47,19 @@ def templates(line: bytes, lead: int, fields: int, min_tokens: int) -> list[int]
     for i in range(fields):
         if i and n <= lead + i:
             break  # an empty class: the same template as the whole line, unless it is the only one
-        kept = b"\n".join(r for j, r in enumerate(rest) if j != i)
+        kept, words = b"\n".join(r for j, r in enumerate(rest) if j != i), n - len(range(lead + i, n, fields))
         if n - lead <= fields:  # too few tokens to leave any out
-            kept, i = b"\n".join(rest), fields
-        out.append(xxhash.xxh64_intdigest(b"%s\n%d\n%s" % (top, i, kept)) - (1 << 63))
+            kept, i, words = b"\n".join(rest), fields, n
+        written = b"%s\n%d\n%s" % (top, i, kept)
+        out.append(xxhash.xxh64_intdigest(written) - (1 << 63))
+        if long_tokens is not None:
+            out[-1] = out[-1] & ~1 | (words - written.count(b"<*>") >= long_tokens)
         if i == fields:
             break
     return out
 
 
-def _lines(lead: int, fields: int, min_tokens: int):
+def _lines(lead: int, fields: int, min_tokens: int, long_tokens: int | None):
     def run(batches):
         for b in batches:
             texts = binary_values(b.column(2))
@@ -59,7 +67,7 @@ def _lines(lead: int, fields: int, min_tokens: int):
                 row, at, ids = [], [], []
                 for i in span:
                     for n, line in enumerate(texts[i].split(b"\n") if texts[i] else ()):
-                        got = templates(line, lead, fields, min_tokens)
+                        got = templates(line, lead, fields, min_tokens, long_tokens)
                         row += [i] * len(got)
                         at += [n] * len(got)
                         ids += got
@@ -101,6 +109,8 @@ def recurring_lines(
     fields: int = 3,
     min_tokens: int = 3,
     min_docs: int = 5,
+    long_tokens: int | None = None,
+    long_docs: int = 2,
     keep_first: bool = True,
 ) -> DataFrame:
     """(_id, _key, _dropped): by document, the line numbers that its recurring templates drop."""
@@ -112,7 +122,8 @@ def recurring_lines(
     )
     id_type = narrow.schema["id"].dataType.simpleString()
     work = Workspace(docs.sparkSession, "templates")
-    lines = work.put(narrow.mapInArrow(_lines(lead, fields, min_tokens), f"template long, id {id_type}, key long, content long, line int"))
+    lines = work.put(narrow.mapInArrow(_lines(lead, fields, min_tokens, long_tokens), f"template long, id {id_type}, key long, content long, line int"))
+    need = F.lit(min_docs) if long_tokens is None else F.when(F.col("template").bitwiseAND(1) == 1, long_docs).otherwise(min_docs)
     # by (template, content) first: a hot template is spread over its texts
     first = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "key"))
     recurring = (
@@ -120,7 +131,7 @@ def recurring_lines(
         .agg(first.alias("first"))
         .groupBy("template")
         .agg(F.count("*").alias("texts"), F.min("first").alias("first"))
-        .filter(F.col("texts") >= min_docs)
+        .filter(F.col("texts") >= need)
     )
     # written, so that the join deals both sides itself and may split a hot template
     recurring = work.put(recurring.select("template", "first"))

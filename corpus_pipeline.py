@@ -24,8 +24,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of recurring templates; none is dropped as a whole."""
-    return drop_lines(docs)
+    """Documents without lines of recurring templates; none is dropped as a whole.
+
+    Templates that keep 8 or more tokens without a digit recur from the second
+    different text on, shorter ones from the fifth.
+    """
+    return drop_lines(docs, long_tokens=8)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,27 @@ def test_long_line(documents):
     text = " ".join(f"w{'x' * (i % 50)}" for i in range(50_000))
     rows = [(i, f"{text}\n{'z' * i}") for i in range(6)]
     assert sorted(r.n_dropped for r in dedup_lines(documents(rows)).collect()) == [0, 1, 1, 1, 1, 1]
+
+
+def test_long_lines_recur_from_the_second_text(spark, documents):
+    import corpus_pipeline
+
+    passage = " ".join(f"word{'abcdefghijklmnop'[i]}" for i in range(14))
+    other = passage.replace("wordd", "name")  # in one class of fields
+    rows = [(1, f"{passage}\nown a b"), (2, f"own c d\n{other}"), (3, "a short line\nown e f"), (4, "a short line\nown g h")]
+    rows += [(5, "row 1 2 3 4 5 6 7 8 9 10 11 12 13"), (6, "row 2 3 4 5 6 7 8 9 10 11 12 13 14")]
+    docs = documents(rows)
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {**dict(rows), 2: "own c d"}
+    assert {r.doc_id: r.text for r in drop_lines(docs).collect()} == dict(rows)
+
+
+def test_long_and_short_templates_equal_brute_force(documents):
+    rows = corpus(4)
+    rows += [(2000 + i, f"{t}\nextra {i} own") for i, t in rows[:6] for _ in range(1)]
+    docs = documents(rows).repartition(5)
+    every = {r.doc_id: r.n_dropped for r in dedup_lines(docs, long_tokens=0).collect()}
+    assert every == {i: n for i, (_, n) in brute(rows, 2).items()}
+    some = {r.doc_id: r.n_dropped for r in dedup_lines(docs, long_tokens=8).collect()}
+    none = {r.doc_id: r.n_dropped for r in dedup_lines(docs).collect()}
+    assert all(none[i] <= some[i] <= every[i] for i in every) and sum(none.values()) < sum(some.values()) < sum(every.values())
