@@ -3,8 +3,9 @@
 Every source gets a target of words: the total is shared by weight, a target
 stops at ``cap`` times the source's size, and the excess is shared again by
 weight. A source with target r times its size first takes floor(r) whole copies
-of every document; the rest is an unequal-probability sample (inclusion odds
-differ by source) of fixed size in words: documents are ranked by their random
+of every document; the rest is a sample of fixed size in words. Inclusion odds
+differ by source only, so within a source all documents are equally probable:
+dividing by the odds does not change their order. Documents are ranked by their random
 odds over their inclusion odds and taken in that order up to the rest's words,
 and one more document, the one nearest to what is still missing, closes the gap.
 
