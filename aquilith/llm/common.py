@@ -84,10 +84,12 @@ _ROOTS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all nodes share, as the cluster names it; one of our own only where none is set."""
+    """The folder that all nodes share, as the cluster names it; one of our own only on a single machine."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
     app = spark.sparkContext.applicationId
     if app not in _ROOTS:
         _ROOTS[app] = tempfile.mkdtemp(prefix="aquilith-")
@@ -98,13 +100,13 @@ class Workspace:
     """Tables written to the shared folder: each cuts the lineage above it.
 
     A written table survives lost executors, and its size on disk is known
-    to the planner. ``drop`` removes one that is no longer read; what is left
-    goes when the driver exits, as results returned lazily still read it.
+    to the planner. ``drop`` removes one that is no longer read, ``only`` all but
+    those that a lazily returned result reads; these go when the driver exits.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path = spark, f"{shared_folder(spark)}/aquilith-{name}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.count, self.held = 0, set()
         atexit.register(self.clear)
 
     def put(self, df: DataFrame) -> DataFrame:
@@ -113,6 +115,7 @@ class Workspace:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._aquilith_path = path
+        self.held.add(path)
         return out
 
     def _delete(self, path: str) -> None:
@@ -122,6 +125,14 @@ class Workspace:
 
     def drop(self, table: DataFrame) -> None:
         self._delete(table._aquilith_path)
+        self.held.discard(table._aquilith_path)
+
+    def only(self, *tables: DataFrame) -> None:
+        """Removes all tables but these."""
+        kept = {t._aquilith_path for t in tables}
+        for path in self.held - kept:
+            self._delete(path)
+        self.held &= kept
 
     def clear(self) -> None:
         with suppress(Exception):  # the JVM may be gone at exit

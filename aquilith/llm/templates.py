@@ -87,15 +87,16 @@ def _cut(text: bytes | None, gone: list[int] | None) -> bytes | None:
     return b"\n".join(x for n, x in enumerate(text.split(b"\n")) if n not in gone)
 
 
-def _without(text_at: int, columns: int):
-    """The first ``columns`` columns, the text without the lines that the column behind them lists."""
+def _without(text_at: int, names: list[str]):
+    """The first columns under their ``names``, the text without the lines that the column behind them lists."""
+    columns = len(names)
 
     def run(batches):
         for b in batches:
             texts = [_cut(t, d) for t, d in zip(binary_values(b.column(text_at)), b.column(columns).to_pylist(), strict=True)]
             arrays = [b.column(i) for i in range(columns)]
             arrays[text_at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, b.schema.names[:columns])
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
 
@@ -138,7 +139,9 @@ def recurring_lines(
     hit = lines.select("template", "id", "key", "line").join(recurring, "template")
     if keep_first:
         hit = hit.filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))))
-    return hit.groupBy("id", "key").agg(F.collect_set("line").alias("dropped")).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("dropped").alias("_dropped"))
+    out = work.put(hit.groupBy("id", "key").agg(F.collect_set("line").alias("dropped")).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("dropped").alias("_dropped")))
+    work.only(out)
+    return out
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -154,14 +157,20 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     joined = narrow.join(dropped, narrow.id.eqNullSafe(dropped["_id"]) & (narrow.key == dropped["_key"]), "left").select("id", "key", "text", F.col("_dropped").alias("dropped"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
     counted = joined.select("id", n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), "text", "dropped")
-    cut = counted.mapInArrow(_without(3, 4), f"id {id_type}, n_lines long, n_dropped long, text string")
+    cut = counted.mapInArrow(_without(3, ["id", "n_lines", "n_dropped", "text"]), f"id {id_type}, n_lines long, n_dropped long, text string")
     return cut.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_lines", "n_dropped")
 
 
 def drop_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` with all columns, the text without recurring lines."""
+    """The rows of ``docs`` with all columns, whatever their names, the text without recurring lines.
+
+    No row goes: a text that loses all its lines is empty, a null text stays
+    null, repeated rows come back repeated, an empty table stays empty. Whole
+    texts are read, however long.
+    """
     dropped = recurring_lines(docs, id_col=id_col, text_col=text_col, **how)
-    keyed = docs.withColumn("_row", row_key(id_col, text_col))
-    joined = keyed.join(dropped, keyed[id_col].eqNullSafe(dropped["_id"]) & (keyed["_row"] == dropped["_key"]), "left")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*columns, "_dropped").mapInArrow(_without(docs.columns.index(text_col), len(columns)), docs.schema)
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    keyed = docs.select(*columns, row_key(id_col, text_col).alias("_row"))
+    same = keyed[f"c{docs.columns.index(id_col)}"].eqNullSafe(dropped["_id"]) & (keyed["_row"] == dropped["_key"])
+    joined = keyed.join(dropped, same, "left").select(*(f"c{i}" for i in range(len(columns))), "_dropped")
+    return joined.mapInArrow(_without(docs.columns.index(text_col), docs.columns), docs.schema)

@@ -108,3 +108,45 @@ def test_sketches_bound_the_difference(spark):
     df = df.selectExpr("named_struct('wide', aw, 'size', an) as a", "named_struct('wide', bw, 'size', bn) as b", "link")
     got = df.selectExpr("link", f"{_far_apart(80)} as far").collect()
     assert not any(r.link and r.far for r in got) and sum(r.far for r in got) >= 5
+
+
+def test_spread_signatures_change_nothing(documents):
+    rows = corpus(7, 20, 12)
+    rows += [(9000 + i, rows[0][1]) for i in range(5)]
+    docs = documents(rows).repartition(3)
+    got = {tuple(r) for r in jaccard_components(docs, hot=1).collect()}
+    assert got == brute(rows, 5, 80) and any(c != i for i, _, c in got)
+
+
+def test_packed_signatures_come_back():
+    import numpy as np
+
+    from aquilith.llm.partenum import LOW, pack48, unpack48
+
+    sig = np.random.default_rng(2).integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2)
+    assert (unpack48(pack48(sig)) == sig & LOW).all() and len(pack48(sig)) == 6000
+
+
+def test_groups_are_kept_once(documents):
+    import numpy as np
+
+    from aquilith.llm.partenum import groups_of
+
+    sig = np.array([5, 5, 7, 7, 7, 9, 9, 11, 12, 12], np.uint64)
+    key = np.array([1, 2, 2, 1, 1, 3, 4, 8, 8, 8], np.int64)
+    flag = np.array([0, 0, 0, 0, 0, 0, 1, 0, 0, 0], bool)
+    keys, ends, times, far = groups_of(sig, key, flag)
+    assert keys.tolist() == [1, 2] and ends.tolist() == [2] and times.tolist() == [2]
+    assert sorted(zip(sig[far].tolist(), key[far].tolist(), strict=True)) == [(9, 3), (9, 4)]
+
+
+def test_intermediate_tables_go(spark, documents, tmp_path):
+    import os
+
+    from aquilith.llm.common import shared_folder
+
+    root = shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(root))
+    out = jaccard_components(documents(corpus(3, 10, 5)))
+    (new,) = set(os.listdir(root)) - before
+    assert len(os.listdir(f"{root}/{new}")) == 1 and out.count() > 0

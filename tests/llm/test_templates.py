@@ -101,3 +101,14 @@ def test_long_and_short_templates_equal_brute_force(documents):
     some = {r.doc_id: r.n_dropped for r in dedup_lines(docs, long_tokens=8).collect()}
     none = {r.doc_id: r.n_dropped for r in dedup_lines(docs).collect()}
     assert all(none[i] <= some[i] <= every[i] for i in every) and sum(none.values()) < sum(some.values()) < sum(every.values())
+
+
+def test_clashing_names_survive(documents):
+    line = "a line that many share"
+    docs = documents([(i, f"{line}\n{'x' * i}") for i in range(6)])
+    names = ["_row", "_dropped", "_id", "_key", "c1", "first", "content"]
+    for k, c in enumerate(names):
+        docs = docs.withColumn(c, F.lit(f"own {k}"))
+    got = drop_lines(docs)
+    assert got.columns == docs.columns and sum(line in r.text for r in got.collect()) == 1
+    assert [tuple(r) for r in got.select(*names).distinct().collect()] == [tuple(f"own {k}" for k in range(len(names)))]
