@@ -347,37 +347,75 @@ def _weights(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), part)), pa.array(found), pa.array(weight)], ["part", "key", "weight"])
 
 
-def _stars(tried: int, width: int):
-    """(u, v): members ``tried`` to ``tried + width`` of every group, by weight, each with those not known to be connected to it."""
+def _open(tried: int):
+    """(part, keys, ends): the groups in which sets are neither all connected nor all compared."""
+
+    def run(batches):
+        for b in batches:
+            for part, keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                known, root = _sorted_info(info, "root")
+                key, end = np.array(keys, np.int64), np.array(ends, np.int64)
+                root, begin = root[np.searchsorted(known, key)], np.append(0, end[:-1])
+                open_ = (np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)) & (end - begin > tried + 1)
+                if open_.any():
+                    size = (end - begin)[open_]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part], pa.int64()), pa.array([key[np.repeat(open_, end - begin)]], pa.list_(pa.int64())), pa.array([np.cumsum(size)], pa.list_(pa.int64()))], ["part", "keys", "ends"]
+                    )
+
+    return run
+
+
+def _sorted_info(info: list, *columns: str) -> list[np.ndarray]:
+    """Keys in order, and the columns of their rows."""
+    out = [np.array([x[c] for x in info], np.int64) for c in ("key", *columns)]
+    order = np.argsort(out[0])
+    return [x[order] for x in out]
+
+
+def _stars(tried: int, width: int, threshold: int):
+    """(u, v): members ``tried`` to ``tried + width`` of every group, by weight, each with those not known to be connected to it.
+
+    From the second round on, sizes and sketches come along, and pairs that they
+    rule out as links are not made.
+    """
 
     def run(batches):
         for b in batches:
             for keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                known, weight, root = (np.array([x[c] for x in info], np.int64) for c in ("key", "weight", "root"))
-                order = np.argsort(known)
-                known, weight, root = known[order], weight[order], root[order]
+                known, weight, root = _sorted_info(info, "weight", "root")
                 key, end = np.array(keys, np.int64), np.array(ends, np.int64)
                 at = np.searchsorted(known, key)
                 seg = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))
                 order = np.lexsort((key, -weight[at], seg))  # groups stay in their places
-                key, root = key[order], root[at][order]
+                key, at = key[order], at[order]
+                root = root[at]
                 begin = np.append(0, end[:-1])
                 open_ = (np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)) & (end - begin > tried + 1)
+                if "n" in info[0]:
+                    sketched = _sorted_info(info, "n", *(f"s{i}" for i in range(WORDS)))[1:]
+                    n, bits = sketched[0][at], np.stack(sketched[1:], axis=1)[at].view(np.uint64)
+                else:
+                    n = bits = None
                 u, v = np.empty(0, np.int64), np.empty(0, np.int64)
                 for t in range(tried, tried + width):
                     open_ &= end - begin > t
                     if not open_.any():
                         break
-                    size = np.where(open_, end - begin, 0)
                     mine = np.flatnonzero(open_[seg])
-                    head = np.repeat(np.minimum(begin + t, len(key) - 1), size)
+                    head = np.repeat(begin[open_] + t, (end - begin)[open_])
                     far = root[head] != root[mine]
-                    u, v = np.concatenate([u, key[head[far]]]), np.concatenate([v, key[mine[far]]])
-                    if len(u) > 4 * PART or t == tried + width - 1:
+                    head, mine = head[far], mine[far]
+                    if n is not None:
+                        near = 100 * np.minimum(n[head], n[mine]) >= threshold * np.maximum(n[head], n[mine])
+                        near &= np.bitwise_count(bits[head] ^ bits[mine]).sum(axis=1, dtype=np.int64) <= (n[head] + n[mine]) * (100 - threshold) // (100 + threshold)
+                        head, mine = head[near], mine[near]
+                    u, v = np.concatenate([u, key[head]]), np.concatenate([v, key[mine]])
+                    if len(u) > 4 * PART:
                         u, v = _distinct(u, v)
                 u, v = _distinct(u, v)
                 if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return run
 
@@ -466,22 +504,26 @@ def jaccard_components(
     while True:
         now = members if roots is None else members.join(roots, members.key == roots.node, "left").drop("node")
         now = now.withColumn("root", F.coalesce("root", "key") if roots is not None else F.col("key"))
-        state = now.select("key", "weight", "root")
-        info = weighed.select("part", "key").join(state, "key").groupBy("part").agg(F.collect_list(F.struct("key", "weight", "root")).alias("info"))
-        near = groups.join(info, "part").select("keys", "ends", "info").mapInArrow(_stars(tried, width), "u long, v long")
+        if tried:
+            groups = work.put(_informed(groups, weighed, now.select("key", "root")).mapInArrow(_open(tried), "part long, keys array<long>, ends array<long>"))
+            weighed = work.put(groups.select("part", F.explode(F.array_distinct("keys")).alias("key")))
+        state = now.select("key", "weight", "root", *(["n", *bits] if tried else []))
+        near = _informed(groups, weighed, state).select("keys", "ends", "info").mapInArrow(_stars(tried, width, threshold), "u long, v long")
         if any_spread:
-            near = near.unionByName(_spread_stars(spread.join(state, "key"), tried, width))
+            near = near.unionByName(_spread_stars(spread.join(now, "key"), tried, width, threshold, bits))
         tested = work.put(near.distinct())
-        if not tested.limit(1).count():
+        compared = tested.limit(1).count()
+        if not compared and not (tried and groups.limit(1).count()) and not (any_spread and _still_open(spread.join(now.select("key", "root"), "key"), tried).limit(1).count()):
             break
-        found = work.put(_linked(tested, members, sets, bits, threshold, work))
+        if compared:
+            found = work.put(_linked(tested, members, sets, bits, threshold, work))
+            links.append(found)
+            if found.limit(1).count():
+                edges = links[0]
+                for more in links[1:]:
+                    edges = edges.union(more)
+                roots = connected(edges, work)
         work.drop(tested)
-        links.append(found)
-        if found.limit(1).count():
-            edges = links[0]
-            for more in links[1:]:
-                edges = edges.union(more)
-            roots = connected(edges, work)
         tried, width = tried + width, 16 * width
 
     filled = keyed.filter("key is not null")
@@ -512,12 +554,29 @@ def _candidates(narrow: DataFrame, keyed: DataFrame, wanted: DataFrame, shingle:
     return sets
 
 
-def _spread_stars(now: DataFrame, tried: int, width: int) -> DataFrame:
-    """The pairs of ``_stars`` for groups whose members are spread over rows (sig, key, weight, root)."""
-    open_ = now.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members"))
-    now = now.join(open_.filter((F.col("lo") != F.col("hi")) & (F.col("members") > tried + 1)).select("sig"), "sig", "left_semi")
+def _informed(groups: DataFrame, weighed: DataFrame, state: DataFrame) -> DataFrame:
+    """Groups with what is known of their members: a part's rows are bounded, as its members are."""
+    info = weighed.select("part", "key").join(state, "key").groupBy("part").agg(F.collect_list(F.struct(*state.columns)).alias("info"))
+    return groups.select("part", "keys", "ends").join(info, "part").select("part", "keys", "ends", "info")
+
+
+def _still_open(now: DataFrame, tried: int) -> DataFrame:
+    """Spread signatures whose sets are neither all connected nor all compared."""
+    found = now.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members"))
+    return found.filter((F.col("lo") != F.col("hi")) & (F.col("members") > tried + 1)).select("sig")
+
+
+def _allowed(bits: list[str], threshold: int) -> str:
+    """SQL: that sizes and short sketches of rows a and b allow a link."""
+    differ = " + ".join(f"bit_count(a.{x} ^ b.{x})" for x in bits)
+    return f"100 * least(a.n, b.n) >= {threshold} * greatest(a.n, b.n) and {differ} <= (a.n + b.n) * {100 - threshold} div {100 + threshold}"
+
+
+def _spread_stars(now: DataFrame, tried: int, width: int, threshold: int, bits: list[str]) -> DataFrame:
+    """The pairs of ``_stars`` for groups whose members are spread over rows (sig, key, weight, root, n, sketch)."""
+    now = now.join(_still_open(now, tried), "sig", "left_semi")
     heads = now.withColumn("at", F.expr("row_number() over (partition by sig order by weight desc, key)")).filter((F.col("at") <= tried + width) & (F.col("at") > tried))
-    pairs = heads.alias("a").join(now.alias("b"), F.expr("a.sig = b.sig")).where("a.root != b.root")
+    pairs = heads.alias("a").join(now.alias("b"), F.expr(f"a.sig = b.sig and a.root != b.root and {_allowed(bits, threshold)}"))
     return pairs.select(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v"))
 
 
@@ -526,9 +585,7 @@ def _linked(pairs: DataFrame, members: DataFrame, sets: DataFrame, bits: list[st
 
     A set with many pairs is repeated for every ``SPREAD`` of them, so none gathers them in one task.
     """
-    differ = " + ".join(f"bit_count(a.{x} ^ b.{x})" for x in bits)
-    sketched = pairs.join(members.alias("a"), F.expr("u = a.key")).join(members.alias("b"), F.expr("v = b.key"))
-    sketched = sketched.where(F.expr(f"100 * least(a.n, b.n) >= {threshold} * greatest(a.n, b.n) and {differ} <= (a.n + b.n) * {100 - threshold} div {100 + threshold}"))
+    sketched = pairs.join(members.alias("a"), F.expr("u = a.key")).join(members.alias("b"), F.expr(f"v = b.key and {_allowed(bits, threshold)}"))
     sketched = sketched.select("u", "v", F.col("a.n").alias("un"), F.col("b.n").alias("vn"))
     a, b = (sets.select(F.col("key").alias(x), F.col("wide").alias(f"{x}w")) for x in "uv")
     wide = sketched.join(a, "u").join(b, "v").select("u", "v", F.struct(F.col("uw").alias("wide"), F.col("un").alias("size")).alias("a"), F.struct(F.col("vw").alias("wide"), F.col("vn").alias("size")).alias("b"))
