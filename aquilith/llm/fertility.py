@@ -10,6 +10,7 @@ a text outside any band is rejected, as is one that fails the base rules.
 from __future__ import annotations
 
 import base64
+import re
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -23,6 +24,8 @@ from .common import binary_values
 FOLDER = "/opt/tokenizers"
 SYMBOLS = [b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">"]
 SPACES = [b" ", b"\t", b"\n", b"\v", b"\f", b"\r"]
+#: Runs of Unicode white space (fixed values) that are too long for the vocabulary's pattern.
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
 @dataclass(frozen=True)
@@ -68,6 +71,7 @@ class Vocabularies:
         with open(f"{folder}/byte_bpe_multi_50k.tiktoken") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(str.split, f)}
         self.bytes = tiktoken.Encoding("multi", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         pieces = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/piece_bpe_32k.model")
         #: UTF-8 bytes of a character that has no piece, else 0
         self.fallback = np.repeat(np.array([1, 2, 3, 4], np.uint8), [0x80, 0x780, 0xF800, 0x100000])
@@ -75,6 +79,26 @@ class Vocabularies:
         self.fallback[[0x20, *range(0x09, 0x0E)]] = 0  # no part of words
 
 
+    def tokens(self, text: str) -> list[np.ndarray]:
+        """The byte-level vocabulary's ids, in parts.
+
+        Its pattern takes a run of white space but for the last character, which
+        goes with the word behind it, as one unit; at the end of a text the whole
+        run. It backtracks over each character, so a run of a million ends the
+        process: long runs are cut out at just these places, which gives the same ids.
+        """
+        out, start = [], 0
+        for run in _RUN.finditer(text):
+            stop = run.end() - (run.end() < len(text))
+            out += [self._ids(self.bytes, text[start : run.start()]), self._ids(self.whole, text[run.start() : stop])]
+            start = stop
+        return [*out, self._ids(self.bytes, text[start:])]
+
+    @staticmethod
+    def _ids(encoding, text: str) -> np.ndarray:
+        return encoding.encode_to_numpy(text, disallowed_special=()) if text else np.empty(0, np.uint32)
+
+
 @lru_cache(maxsize=1)
 def vocabularies(folder: str) -> Vocabularies:
     return Vocabularies(folder)
@@ -123,7 +147,7 @@ def measure(text: bytes, v: Vocabularies) -> tuple:
     base = (n_words, chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), n_repeat, failed)
     if not n_words:
         return *base, False, script, 0.0, 0.0, 0.0
-    tokens = np.array(v.bytes.encode_ordinary(decoded))
+    tokens = np.concatenate(v.tokens(decoded))
     counts = np.bincount(tokens)
     share = counts[counts > 0] / len(tokens)
     entropy = float(-(share * np.log2(share)).sum())
@@ -152,8 +176,10 @@ def _rows(folder: str):
 def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folder: str = FOLDER) -> DataFrame:
     """Base counts, the vocabularies' measures and the verdict for every row.
 
-    A null text counts as without words: all counts 0, base_failed, not kept,
-    script ``none``. Other columns are ignored; repeated rows come back repeated.
+    A null or empty text counts as without words: all counts 0, base_failed, not
+    kept, script ``none``. Texts are read whole, however long, white space runs of
+    any length included. Other columns are ignored, whatever their names; repeated
+    rows come back repeated and equal; an empty table gives an empty one.
     """
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     id_type = narrow.schema["id"].dataType.simpleString()

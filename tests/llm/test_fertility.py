@@ -79,3 +79,24 @@ def test_nulls_repeats_and_empty_tables(documents):
     got = sorted((str(r.doc_id), r.n_words, r.base_failed, r.kept) for r in quality(docs).collect())
     assert got == [("1", 0, True, False), ("2", 0, True, False), ("3", 2, True, False), ("3", 2, True, False), ("4", 300_000, True, False), ("None", 3, True, False)]
     assert quality(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("around", [("", ""), ("x", ""), ("", "x"), ("a b", " c"), ("'s", "'s 1"), ("#", "#"), ("é\u3000", "\x1cz")])
+@pytest.mark.parametrize("unit", ["\n", " ", " \t", "\u2003\r\n", "\xa0"])
+def test_long_runs_equal_the_library(around, unit):
+    v = vocabularies(FOLDER)
+    for n in (4095, 4096, 9000):
+        text = f"some words {around[0]}{unit * n}{around[1]} and {unit * 5000}{around[1]}"
+        assert np.concatenate(v.tokens(text)).tolist() == v.bytes.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("unit", ["\n", " ", " \t", "a", "é", "#", "1 "])
+def test_ten_megabytes_give_a_row(unit):
+    text = "the first words " * 20 + unit * (10_000_000 // len(unit.encode()))
+    got = measure(text.encode(), vocabularies(FOLDER))
+    assert got[0] >= 60 and got[8] > 0
+
+
+def test_a_dirty_document_does_not_stop_the_others(documents):
+    docs = documents([(1, "\n" * 1_500_000), (2, " \t" * 900_000 + "x"), (3, "plain words " * 40)])
+    assert {(r.doc_id, r.n_words) for r in quality(docs).collect()} == {(1, 0), (2, 1), (3, 80)}
