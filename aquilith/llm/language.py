@@ -12,13 +12,14 @@ Presence rows fill up as a text grows, so a text longer than ``BLOCK`` is scored
 in equal blocks of at most that length, all of it, and its scores are the
 blocks' mean: they depend on what a text holds, not on how long it is.
 
-Only a bounded sample of labelled rows is fitted: ``per_language`` documents of
-each language, those with the least hash of their id.
+Only a bounded sample of labelled rows is fitted: ``per_language`` different
+documents of each of at most ``most_languages`` languages, those with the least
+hash of id and text. Executors make their presence rows, so what reaches the
+driver is ``width`` bits for each, however long the texts.
 """
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 from itertools import islice
 
@@ -49,6 +50,13 @@ def features(text: str, width: int, longest: int) -> np.ndarray:
     return np.flatnonzero(present)
 
 
+def packed(text: str, width: int, longest: int) -> bytes:
+    """The presence row of a text, as bits."""
+    present = np.zeros(width, bool)
+    present[features(text, width, longest)] = True
+    return np.packbits(present).tobytes()
+
+
 def presence(texts: list[str], width: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """Presence rows, and their lengths' square roots."""
     x = np.zeros((len(texts), width), np.float32)
@@ -57,6 +65,12 @@ def presence(texts: list[str], width: int, longest: int) -> tuple[np.ndarray, np
     return x, np.sqrt(np.maximum(x.sum(axis=1), 1))
 
 
+def _unit_rows(rows: list[bytes]) -> np.ndarray:
+    """Packed presence rows scaled to unit length."""
+    x = np.unpackbits(np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
+    return x / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
+
+
 def blocks_of(text: str, size: int = BLOCK):
     """The text in equal parts of at most ``size`` characters; an empty text is one part."""
     n = max(1, -(-len(text) // size))
@@ -92,20 +106,24 @@ class Model:
 
 
 def fit(texts: list[str], labels: list[str], *, width: int, longest: int, landmarks: int, ridge: float) -> Model:
+    """``fit_rows`` of texts."""
+    return fit_rows([packed(t, width, longest) for t in texts], labels, width=width, longest=longest, landmarks=landmarks, ridge=ridge)
+
+
+def fit_rows(rows: list[bytes], labels: list[str], *, width: int, longest: int, landmarks: int, ridge: float) -> Model:
     """Nyström features over evenly drawn landmarks, then one-versus-rest ridge regression."""
     languages = sorted(set(labels))
-    x, norm = presence(texts, width, longest)
-    x /= norm[:, None]
-    pick = []
-    for lang in languages:  # the same number of each language
-        own = [i for i, y in enumerate(labels) if y == lang]
-        pick += own[: max(1, landmarks // len(languages))]
-    base = x[pick]
+    own: dict[str, list[int]] = {}
+    for i, y in enumerate(labels):
+        own.setdefault(y, []).append(i)
+    pick = [i for lang in languages for i in own[lang][: max(1, landmarks // len(languages))]]  # the same number of each language
+    base = _unit_rows([rows[i] for i in pick])
     values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])  # whitens the landmarks' kernel
-    phi = np.hstack([(x @ base.T) @ root, np.ones((len(x), 1))])
-    y = np.array([[1.0 if a == lang else -1.0 for lang in languages] for a in labels])
+    kernel = np.vstack([_unit_rows(rows[i : i + 512]) @ base.T for i in range(0, len(rows), 512)])
+    phi = np.hstack([kernel @ root, np.ones((len(rows), 1))])
+    y = np.where(np.array([languages.index(a) for a in labels])[:, None] == np.arange(len(languages)), 1.0, -1.0)
     penalty = ridge * np.eye(phi.shape[1])
     penalty[-1, -1] = 0
     w = np.linalg.solve(phi.T @ phi + penalty, phi.T @ y)
@@ -123,6 +141,7 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = 150,
+    most_languages: int = 256,
     width: int = 1 << 14,
     longest: int = 4,
     landmarks: int = 96,
@@ -131,19 +150,39 @@ def train(
     """A model of labelled rows whose id is not held out; None if there are none.
 
     Held out are ids whose crc32, as text, leaves 1 modulo 3. Rows with a null
-    id, label or text are not learned from. The least hashes of a language are
-    found in two steps, so that no task ranks more than its share of it.
+    id or label and texts that are null or without a letter are not learned from;
+    rows repeated count once. At most ``per_language`` rows are taken of each of
+    the ``most_languages`` languages that have most rows (ties by name). Of a text
+    longer than ``BLOCK`` one block is learned, drawn by its hash, as texts are
+    scored in blocks. Other columns are ignored. A row is taken by a limit on its
+    hash that follows from its language's number of rows, so no task ranks more
+    than a few rows.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    able = rows.filter("id is not null and lang is not null and text is not null and crc32(cast(id as binary)) % 3 != 1")
-    ranked = able.select("id", "lang", F.xxhash64("id").alias("h"))
-    few = ranked.withColumn("r", F.expr("row_number() over (partition by lang, pmod(h, 64) order by h, id)")).filter(F.col("r") <= per_language)
-    few = few.withColumn("r", F.expr("row_number() over (partition by lang order by h, id)")).filter(F.col("r") <= per_language)
-    chosen = able.join(F.broadcast(few.select("id").distinct()), "id", "left_semi").collect()
-    sample = sorted({(zlib.crc32(r.id.encode()), r.id, r.text, r.lang) for r in chosen if has_letter(r.text)})
+    able = rows.filter("id is not null and lang is not null and crc32(cast(id as binary)) % 3 != 1").filter(F.col("text").rlike(r"\p{L}"))
+    able = able.withColumn("h", F.xxhash64("id", "text"))
+    sizes = able.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("rows"))
+    found = sizes.orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    if not found:
+        return None
+    limits = [(r.lang, -(1 << 63) + min(int((1 << 64) * 1.25 * per_language / max(1, r.rows)), (1 << 64) - 1)) for r in found]
+    limits = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, most long"))
+    few = able.join(limits, "lang").filter("h <= most").groupBy("lang", "h").agg(F.min(F.struct("id", "text"))["text"].alias("text"))
+    few = few.withColumn("r", F.expr("row_number() over (partition by lang order by h)")).filter(F.col("r") <= per_language)
+
+    def run(batches):
+        for b in batches:
+            drawn = []
+            for text, h in zip(binary_values(b.column(2)), b.column(1).to_pylist(), strict=True):
+                blocks = [x for x in blocks_of(text.decode("utf-8", "replace")) if has_letter(x)]
+                drawn.append(packed(blocks[h % len(blocks)], width, longest) if blocks else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(drawn, pa.binary())], ["lang", "h", "bits"])
+
+    sample = few.select("lang", "h", "text").mapInArrow(run, "lang string, h long, bits binary").filter("bits is not null").collect()
+    sample = sorted((r.h, r.lang, bytes(r.bits)) for r in sample)
     if not sample:
         return None
-    return fit([s[2] for s in sample], [s[3] for s in sample], width=width, longest=longest, landmarks=landmarks, ridge=ridge)
+    return fit_rows([s[2] for s in sample], [s[1] for s in sample], width=width, longest=longest, landmarks=landmarks, ridge=ridge)
 
 
 def _judge(model: Model | None, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -175,9 +214,11 @@ def _predict(model: Model | None):
 def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, lang_pred, score) for every row, from the text alone.
 
-    A text that is null or has no letter is ``und`` with score 0, as is every
-    text where nothing could be learned. A null id is not held out. Other
-    columns are ignored; repeated rows come back repeated.
+    A text that is null, empty or has no letter is ``und`` with score 0, as is every
+    text where nothing could be learned. A null id is not held out. Long texts
+    are scored whole, in blocks; of languages that tie, the first by name is told.
+    Other columns are ignored, whatever their names; repeated rows come back
+    repeated and equal; an empty table gives an empty one.
     """
     narrow = docs.select(
         F.col(f"`{id_col}`").alias("id"),
@@ -199,6 +240,9 @@ def keep_identified(docs: DataFrame, model: Model | None, *, text_col: str = "te
 
     The score itself rejects nothing, as it is low for short texts however
     clear. Texts in a language that was not learned are not told from others.
+    Texts that are null, empty or without a letter go, as do all texts where
+    nothing could be learned and those of two languages that tie. Long texts are
+    judged whole; repeated rows share their fate; no column is added or changed.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     allowed = set(languages) if languages is not None else None

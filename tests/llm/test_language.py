@@ -95,3 +95,24 @@ def test_texts_between_two_languages_are_not_kept(documents):
     m = fit(["abab", "xyxy"], ["p", "q"], width=1 << 14, longest=3, landmarks=2, ridge=0.1)
     kept = keep_identified(documents([(1, "abab"), (2, "xyxy"), (3, "abab xyxy"), (4, "ab")]), m)
     assert {r.doc_id for r in kept.collect()} == {1, 2, 4}
+
+
+def test_what_is_learned_is_bounded(documents):
+    """Repeated ids, letterless rows and a thousand labels neither crowd the others out nor grow what is collected."""
+    rows = [(3, "the same text of one id", "en")] * 20_000 + [(6 + 3 * i, f"le chat {i} noir", "fr") for i in range(400)] + [(5000 + i, "12 34", "fr") for i in range(400)]
+    rows += [(9, f"the hat {i} and the cat", "en") for i in range(300)] + [(100_000 + i, f"wort {i}", f"l{i % 1000}") for i in range(4000)]
+    m = train(documents(rows), most_languages=20, per_language=30)
+    assert len(m.languages) == 20 and {"en", "fr"} <= set(m.languages)
+    assert train(documents([(3, "12", "en"), (6, "the", None)])) is None
+
+
+def test_sample_is_of_the_stated_size(documents, monkeypatch):
+    from aquilith.llm import language
+
+    seen = {}
+    monkeypatch.setattr(language, "fit_rows", lambda rows, labels, **_: seen.update(rows=rows, labels=labels))
+    rows = [(i, f"some words {i}", "en") for i in range(3000)] + [(9000 + i, "mot " * (i + 1), "fr") for i in range(60)] + [(20_001, "x" * 2_000_000, "de")] * 50
+    train(documents(rows).repartition(7))
+    count = {x: seen["labels"].count(x) for x in set(seen["labels"])}
+    assert 120 <= count["en"] <= 150 and count["de"] <= 1 and 30 <= count["fr"] <= 60
+    assert {len(r) for r in seen["rows"]} == {2048}
