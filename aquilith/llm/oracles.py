@@ -54,7 +54,7 @@ from rows_ left join sets using (rid) left join components using (content)
 
 MIXING = f"""
 with sized as materialized (
-    select doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD_PATTERN}')), 0)::bigint as size from documents
+    select doc_id, source, text, coalesce(len(regexp_extract_all(text, '{WORD_PATTERN}')), 0)::bigint as size from documents
 ), sources as (
     select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as place
     from sized group by source
@@ -75,18 +75,31 @@ with sized as materialized (
 ), parts as materialized (
     select *, floor(ratio)::bigint as whole, ratio - floor(ratio) as part, target - floor(ratio) * source_size as rest
     from (select *, if(source_size > 0, target / source_size, 0) as ratio from aims)
+), classes as (
+    select sized.source, length(bin(size)) as bits, sum(size)::bigint as words, any_value(rest) as rest
+    from sized join parts on sized.source is not distinct from parts.source where part > 0 and size > 0 group by all
+), pulled as (
+    select *, rest - coalesce(sum(words) over (partition by source order by bits desc rows between unbounded preceding and 1 preceding), 0)::double as open_,
+           sum(words * bits) over (partition by source order by bits desc rows between current row and unbounded following)::double as pull
+    from classes
+), first_ as (
+    select source, max(bits) as from_, arg_max(open_, bits) as open_, arg_max(pull, bits) as pull from pulled where bits * open_ < pull group by source
+), chances as (
+    select classes.source, bits, case when from_ is null or bits > from_ then 1 else greatest(0, bits * open_ / pull) end as chance
+    from classes left join first_ on classes.source is not distinct from first_.source
 ), drawn as (
-    select sized.doc_id, sized.source, size, source_size, target, whole, part, rest,
-           (('0x' || md5('20:' || coalesce(doc_id::varchar, '') || ':' || size)[1:13])::bigint::double + 0.5::double) / 4503599627370496::double as u
+    select sized.doc_id, sized.source, size, source_size, target, whole, part, rest, chance,
+           (('0x' || md5('20:' || coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))))[1:15]::bigint::double + 0.5::double) / 4503599627370496::double as u
     from sized join parts on sized.source is not distinct from parts.source
+    left join chances on sized.source is not distinct from chances.source and length(bin(size)) = bits
 ), ranked as (
-    select *, case when part > 0 then u / (1 - u) / (part / (1 - part)) end as q from drawn
+    select *, case when chance >= 1 then 0 when chance > 0 then u / (1 - u) / (chance / (1 - chance)) end as q from drawn
 ), summed as materialized (
-    select *, sum(size) over (partition by source order by q, doc_id nulls last) as upto from ranked
+    select *, sum(size) over (partition by source order by q nulls last, doc_id nulls last rows between unbounded preceding and current row) as upto from ranked
 ), ends as (
-    select source, coalesce(max(upto) filter (upto <= rest), 0) as reached from summed group by source
+    select source, coalesce(max(upto) filter (q is not null and upto <= rest), 0) as reached from summed group by source
 ), judged as (
-    select summed.*, part > 0 and upto <= rest as inside, abs(size - (rest - reached)) as off, rest - reached as missing
+    select summed.*, part > 0 and q is not null and upto <= rest as inside, abs(size - (rest - reached)) as off, rest - reached as missing
     from summed join ends on summed.source is not distinct from ends.source
 ), closing as (
     select *, row_number() over (partition by source, (part > 0 and not inside and size > 0 and off < missing) order by off, q, doc_id nulls last) = 1
@@ -120,7 +133,7 @@ def _matches(kind: str, number: int, pattern: str, value: str, least: int) -> st
 
 SECRETS = f"""
 with rows_ as materialized (
-    select row_number() over () as rid, doc_id, coalesce(source, '') as owner, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) as text
+    select row_number() over () as rid, doc_id, coalesce(source, '') as owner, coalesce(doc_id::varchar, '') as repo, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) as text
     from documents
 ), found as materialized (
     {_matches("assign", 0, _ASSIGN, f"regexp_extract(found, '{_ASSIGN}', 2)", 12)}
@@ -129,10 +142,10 @@ with rows_ as materialized (
     union all
     {_matches("hex", 2, "[0-9a-f]+", "found", 16)}
 ), held as (
-    select value, count(distinct owner) as owners from found join rows_ using (rid) group by value
+    select value, count(distinct owner) as owners, count(distinct repo) as repos from found join rows_ using (rid) group by value
 ), judged as (
-    select found.*, owners >= 3 as common,
-           owners < 3 and len(list_distinct(string_split(value, ''))) >= 8 and regexp_matches(value, '[A-Za-z]')
+    select found.*, owners, repos, owners >= 3 or repos >= 10 as common,
+           owners < 3 and repos < 10 and len(list_distinct(string_split(value, ''))) >= 8 and regexp_matches(value, '[A-Za-z]')
            and regexp_matches(value, '[0-9]') and not regexp_matches(lower(value), '{PLACEHOLDERS}') as live
     from found join held using (value)
 ), every_ as (
@@ -146,10 +159,10 @@ with rows_ as materialized (
            count(*) filter (number = 3) as n_live
     from every_ group by rid
 ), examples as (
-    select rid, count(*) filter (common) as n_example from judged group by rid
+    select rid, count(*) filter (common) as n_example, string_agg(repos || '/' || owners, ',' order by start, number) as held_by from judged group by rid
 )
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
-       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example, coalesce(held_by, '') as held_by
 from rows_ left join written using (rid) left join examples using (rid)
 """
 

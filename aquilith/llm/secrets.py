@@ -4,7 +4,8 @@ Three kinds of candidates are found in every whole text: assignments of a long
 value to a telling name, access keys, and long hexadecimal runs. Each
 candidate's value is hashed, and over the whole corpus the hash's distinct
 repositories and owners are counted. A value that ``many_owners`` or more owners
-hold is a widely copied example; one that stays with fewer and looks live (enough
+or ``many_repos`` or more repositories hold is a widely copied example, even
+where all its copies are one owner's; one that stays with fewer and looks live (enough
 different characters, letters and digits, no placeholder word) adds a span of
 kind ``live`` over the value itself.
 
@@ -33,19 +34,28 @@ ASSIGN = rf"{_HEAD}[A-Za-z0-9+/_.=-]+"
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "live")
+#: Matches whose places are added up in one go.
+STRETCH = 256
 #: Parts of values that are placeholders.
 PLACEHOLDERS = r"example|sample|changeme|placeholder|your|dummy|test|xxxx|1234567"
 
 
+_SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _found(text: Column, pattern: str, kind: int) -> Column:
     """array<struct<start, kind, end, value>> of the pattern's matches, in code points.
 
     ``split`` gives what lies between the matches that ``regexp_extract_all``
-    gives, so lengths add up to places.
+    gives, so lengths add up to places. They are added up in stretches, then over
+    stretches, as an array that grows by one element is copied for each.
     """
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    empty = F.expr("named_struct('at', 0, 'out', cast(array() as array<struct<start:int,kind:int,end:int,value:string>>))")
+    none = F.expr(f"cast(array() as {_SPANS})")
 
     def step(acc: Column, m: Column) -> Column:
         start = acc["at"] + m["gap"]
@@ -53,8 +63,24 @@ def _found(text: Column, pattern: str, kind: int) -> Column:
         row = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), m["text"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
 
-    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("text"), g.alias("gap")))
-    return F.when(F.size(matches) == 0, F.expr("cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)")).otherwise(F.aggregate(pairs, empty, step)["out"])
+    def stretches(pairs: Column) -> Column:
+        begin = F.expr(f"named_struct('at', 0, 'out', cast(array() as {_SPANS}))")
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / STRETCH).cast("int")), lambda i: F.aggregate(F.slice(pairs, i * STRETCH + 1, STRETCH), begin, step))
+
+    def places(parts: Column) -> Column:
+        begin = F.expr("named_struct('at', 0, 'out', cast(array() as array<int>))")
+        return F.aggregate(parts, begin, lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    def moved(part: Column, by: Column) -> Column:
+        return F.transform(part["out"], lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end"), s["value"].alias("value")))
+
+    def spans(matches: Column) -> Column:
+        gaps = F.transform(F.split(text, pattern, -1), F.length)
+        pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("text"), g.alias("gap")))
+        parts = lambda p: _let(stretches(p), lambda x: F.flatten(F.zip_with(x, places(x), moved)))
+        return F.when(F.size(matches) == 0, none).otherwise(_let(pairs, parts))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
 
 def _written(spans: Column) -> Column:
@@ -111,27 +137,34 @@ def find_secrets(
     repo_col: str = "doc_id",
     owner_col: str = "source",
     many_owners: int = 3,
+    many_repos: int = 10,
 ) -> DataFrame:
-    """Spans of every row: (id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example).
+    """Spans of every row: (id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, held_by).
 
     Places are code points, ends exclusive; base_sha256 digests the base spans,
-    spans lists those and the added ``live`` ones. A null text is empty. Equal
-    rows get equal results; rows repeated count as one repository. n_example is
-    the number of base candidates that are widely copied. Other columns are
-    ignored.
+    spans lists those and the added ``live`` ones. A null text is empty; texts are
+    scanned whole, in time in proportion to their length and matches. Equal
+    rows get equal results; rows repeated count as one repository, null
+    repositories and owners as one each. n_example is the number of base candidates
+    that are widely copied; held_by gives, for every base span in order, its value's
+    repositories and owners as repositories/owners. Other columns are ignored,
+    whatever their names; an empty table gives an empty one.
     """
     work = Workspace(docs.sparkSession, "secrets")
     rows = work.put(scan(docs, id_col=id_col, text_col=text_col, repo_col=repo_col, owner_col=owner_col))
     each = rows.filter(F.size("base") > 0).select("id", "key", "repo", "owner", F.explode("base").alias("s"))
     each = each.select("id", "key", "repo", "owner", "s.start", "s.kind", "s.end", "s.value").withColumn("digest", F.sha2("value", 256))
     judged = each.join(ownership(each), "digest")
-    live = (F.col("n_owners") < many_owners) & looks_live(F.col("value"))
+    common = (F.col("n_owners") >= many_owners) | (F.col("n_repos") >= many_repos)
+    live = ~common & looks_live(F.col("value"))
     added = F.struct((F.col("end") - F.length("value")).alias("start"), F.lit(3).alias("kind"), F.col("end").alias("end"))
+    holders = F.concat_ws("/", F.col("n_repos").cast("string"), F.col("n_owners").cast("string"))
     by_row = judged.groupBy("id", "key").agg(
         F.collect_set(F.when(live, added)).alias("live"),
-        F.size(F.collect_set(F.when(F.col("n_owners") >= many_owners, F.struct("start", "kind")))).cast("long").alias("n_example"),
+        F.size(F.collect_set(F.when(common, F.struct("start", "kind")))).cast("long").alias("n_example"),
+        F.collect_set(F.struct("start", "kind", holders.alias("by"))).alias("held"),
     )
-    by_row = by_row.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "live", "n_example")
+    by_row = by_row.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "live", "n_example", F.array_join(F.transform(F.array_sort("held"), lambda h: h["by"]), ",").alias("held_by"))
     out = rows.join(by_row, rows.id.eqNullSafe(F.col("_id")) & (rows.key == F.col("_key")), "left")
     base = _bare(F.col("base"))
     none = F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")
@@ -145,4 +178,5 @@ def find_secrets(
         _written(F.concat(base, F.coalesce("live", none))).alias("spans"),
         F.coalesce(F.size("live"), F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+        F.coalesce("held_by", F.lit("")).alias("held_by"),
     )

@@ -79,7 +79,7 @@ def test_nulls_repeats_and_empty_tables(spark, documents):
     docs = docs.withColumn("size", F.lit("x")).withColumn("end", F.lit(1)).withColumn("q", F.lit(0)).withColumn("row", F.lit(3))
     got = mix(docs).collect()
     assert len(got) == 5 and all(r.taken == 0 for r in got if not r.size)
-    assert len({r.taken for r in got if r.doc_id == 2}) == 1
+    assert sorted(r.taken for r in got if r.doc_id == 2) == [0, 3]  # of a target of 2
     assert mix(docs.limit(0)).count() == 0 and mixed(docs.limit(0)).columns == docs.columns
 
 
@@ -97,3 +97,60 @@ def test_copies_are_numbered(documents):
         by.setdefault(r.doc_id, []).append(r["copy"])
     assert all(sorted(c) == list(range(1, len(c) + 1)) for c in by.values()) and max(map(len, by.values())) > 1
     assert sorted(map(tuple, got.drop("copy").collect())) == sorted(map(tuple, mixed(docs).collect()))
+
+
+def chances(sizes, rest):
+    """Inclusion by size: in proportion to bit lengths, the certain ones set aside until none is above 1."""
+    certain = set()
+    while True:
+        left = rest - sum(sizes[i] for i in certain)
+        pull = sum(n * n.bit_length() for i, n in enumerate(sizes) if i not in certain)
+        out = [1.0 if i in certain else n.bit_length() * left / pull for i, n in enumerate(sizes)]
+        over = {i for i, p in enumerate(out) if i not in certain and p >= 1}
+        if not over:
+            return out
+        certain |= over
+
+
+def test_inclusion_differs_by_document(documents):
+    """Over seeds and sources alike, each size is included as often as its chance says."""
+    sizes, alike = [1, 3, 12, 60, 300] * 12, [f"a{k:02d}" for k in range(24)]
+    rows = [(1000 * k + i, "w " * n, "en", s) for k, s in enumerate(alike) for i, n in enumerate(sizes)]
+    rows += [(100_000 + i, "w " * 100, "en", f"b{i % 24:02d}") for i in range(24 * 20)]
+    docs = documents(rows).cache()
+    hits, seeds = defaultdict(int), 2
+    for seed in range(seeds):
+        got = mix(docs, weights=(1,), seed=seed).collect()
+        target = next(r.target for r in got if r.doc_id == 0)
+        taken = defaultdict(int)
+        for r in got:
+            if r.doc_id < 100_000:
+                hits[r.size] += r.taken > 0
+                taken[r.doc_id // 1000] += r.taken
+        assert all(abs(n - target) <= 150 for n in taken.values())
+    expected = dict(zip(sizes, chances(sizes, target), strict=True))
+    assert 0 < expected[1] < expected[12] < expected[300] <= 1
+    for n, p in expected.items():
+        assert hits[n] / (12 * 24 * seeds) == pytest.approx(p, abs=0.06), n
+
+
+def test_certain_documents_are_always_taken(documents):
+    sizes = [1] * 30 + [1000] * 3
+    docs = documents([(i, "w " * n, "en", "a") for i, n in enumerate(sizes)] + [(900, "w " * 3028, "en", "b")]).cache()
+    for seed in range(2):
+        got = mix(docs, weights=(1985, 2000), seed=seed).collect()
+        target = next(r.target for r in got if r.doc_id == 0)
+        assert target < sum(sizes) and chances(sizes, target)[-1] == 1 or target > sum(sizes)
+        assert all(r.taken >= 1000 for r in got if r.size == 1000)
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_repeated_rows_are_taken_one_by_one(documents, parts):
+    rows = [(7, "w " * 10, "en", "a")] * 100 + [(8, "v " * 1000, "en", "b")] + [(9, "u", "en", "b")] * 3
+    docs = documents(rows).repartition(parts)
+    got = mix(docs, weights=(2, 3)).collect()
+    target = next(r.target for r in got if r.doc_id == 7)
+    assert len(got) == len(rows) and 0 < target < 1000 and target % 10
+    assert abs(sum(r.taken for r in got if r.doc_id == 7) - target) <= 5
+    assert {r.taken for r in got if r.doc_id == 7} == {0, 10}
+    assert mixed(docs, weights=(2, 3)).filter("doc_id = 7").count() * 10 == sum(r.taken for r in got if r.doc_id == 7)

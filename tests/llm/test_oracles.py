@@ -19,6 +19,9 @@ ROWS = [
     *[(20 + i, f"at {i} the node lost its {i}th lease\nother line number {'abc'[i % 3]} of text {i} here too\nunique{i}", "de", "a") for i in range(7)],
     (40, " \t\n\v\f\r ", "en", "c"),
     (41, "w " * 3000, "en", "c"),
+    *[(50, "one text that many rows repeat under one id", "en", "d")] * 60,
+    *[(None, "no id and five words", "en", "d")] * 9,
+    *[(60 + i, "word " * i, "en", "d") for i in range(12)],
 ]
 
 
