@@ -4,9 +4,11 @@ A spot is an occurrence of a common word (an anchor) with the chain of the next
 ``chain`` content words behind it, every ``step``-th of them; content words are
 those that are no anchors. A text's fingerprint is the set of its spots'
 32-bit hashes, in hex and in order. Two fingerprints are compared by Jaccard
-likeness; sets whose lengths alone keep it under a threshold are pruned, which
-is what partitions by set length are for: sets of one partition can only reach
-the threshold with sets of the same partition or the next.
+likeness. Near copies are found over the whole table: sets are partitioned by
+length, as sets of one partition can only reach the threshold with sets of the
+same partition or the next, and within a partition they meet in an inverted index
+on their rarest spots, so many of them that two sets over the threshold share
+one. Lengths and sketches prune pairs, the rest is compared exactly (``simjoin``).
 
 A text with under ``LEAST`` spots takes every word as an anchor and all words as
 content, so short texts and texts in other languages have fingerprints too.
@@ -21,8 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Workspace, binary_values, hash_words, mix64, partitions
+from .simjoin import Family, cell_of, components, set_key
 
 LEAST = 4
 
@@ -91,11 +95,36 @@ def length_partition(n: int, threshold: float) -> int:
     return int(math.log(n) / -math.log(threshold)) if n else -1
 
 
+class SpotSigs(Family):
+    """Spot sets, which sign by partition of length with their rarest spots."""
+
+    counted = True
+
+    def __init__(self, threshold: int, chain: int, step: int, counts: np.ndarray | None = None):
+        self.threshold, self.chain, self.step, self.counts, self.anchors = threshold, chain, step, counts, anchor_hashes()
+
+    def set_of(self, text: bytes | None) -> np.ndarray:
+        return spots(text, self.anchors, self.chain, self.step).astype(np.uint64) if text else np.empty(0, np.uint64)
+
+    def with_counts(self, counts: np.ndarray) -> SpotSigs:
+        return SpotSigs(self.threshold, self.chain, self.step, counts)
+
+    def signatures(self, s: np.ndarray) -> list[np.ndarray]:
+        # two sets that link share threshold % of the larger one, so they agree in one of so many least spots
+        first = len(s) + 1 - -(-self.threshold * len(s) // 100)
+        least = s[np.lexsort((s, self.counts[cell_of(s)]))[:first]]
+        own = length_partition(len(s), self.threshold / 100)
+        return [mix64(least, 1000 + own), mix64(least, 1001 + own)]
+
+
 def edited(text: str, following: str) -> str:
     n = len(text) // 3
     return (text[: len(text) - n] + following[:n]) if n else text
 
 
+_NAMES = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_spots", "length_partition", "copies_id"]
+
+
 def _rows(chain: int, step: int, threshold: float):
     anchors = anchor_hashes()
 
@@ -103,27 +132,31 @@ def _rows(chain: int, step: int, threshold: float):
         return spots(t.encode("utf-8", "replace"), anchors, chain, step)
 
     def run(batches):
-        held = None  # the row that waits for the next one: (bucket, id, text, spots)
+        held = None  # the row that waits for the next one: (bucket, id, text, spots, component)
+        key, component = None, None  # of the component row that came last
         for b in batches:
-            buckets, tails, texts, ids = b.column(0).to_pylist(), b.column(1).to_pylist(), binary_values(b.column(3)), b.column(2)
+            buckets, kinds, keys = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(4).to_pylist()
+            ids, texts, others = b.column(2), binary_values(b.column(3)), b.column(5)
             done = []
-            for i, (bucket, tail) in enumerate(zip(buckets, tails, strict=True)):
+            for i, (bucket, kind) in enumerate(zip(buckets, kinds, strict=True)):
+                if kind == COMPONENT:
+                    key, component = keys[i], others[i]
+                    continue
                 text = (texts[i] or b"").decode("utf-8", "replace")
                 mine = sig(text)
                 if held is not None and held[0] == bucket:
                     done.append((held, text, mine))
-                held = None if tail else (bucket, ids[i], text, mine)
+                held = None if kind == TAIL else (bucket, ids[i], text, mine, component if keys[i] == key else ids[i])
             out = [_row(*x, sig, threshold) for x in done]
-            names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "length_partition"]
-            columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
-            kinds = [ids.type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array([v.as_py() if isinstance(v, pa.Scalar) else v for v in c], k) for c, k in zip(columns, kinds, strict=True)], names)
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(_NAMES)
+            types = [ids.type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), ids.type]
+            yield pa.RecordBatch.from_arrays([pa.array([v.as_py() if isinstance(v, pa.Scalar) else v for v in c], k) for c, k in zip(columns, types, strict=True)], _NAMES)
 
     return run
 
 
 def _row(held, following: str, next_spots: np.ndarray, sig, threshold: float):
-    _, row_id, text, mine = held
+    _, row_id, text, mine, component = held
     other = edited(text, following)
     changed = sig(other)
     return (
@@ -132,12 +165,46 @@ def _row(held, following: str, next_spots: np.ndarray, sig, threshold: float):
         hashlib.sha256(other.encode("utf-8", "replace")).hexdigest(),
         written(mine),
         written(changed),
-        likeness(mine, changed, threshold),
-        likeness(mine, next_spots, threshold),
-        length_partition(len(mine), max(threshold, 0.5)),
+        likeness(mine, changed),
+        likeness(mine, next_spots),
+        len(mine),
+        length_partition(len(mine), threshold),
+        component,
     )
 
 
+#: Kinds of rows in their order: a document's component, the document, the first document of the next range.
+COMPONENT, DOCUMENT, TAIL = range(3)
+
+
+def _place(id_: F.Column, kind) -> F.Column:
+    """A long that is no greater for a lesser id: the id itself, or for text the number its first bytes make."""
+    if isinstance(kind, T.NumericType):
+        return id_
+    return F.conv(F.rpad(F.hex(F.substring(id_.cast("string").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
+def _buckets(rows: DataFrame, ranges: int) -> tuple[F.Column, F.Column]:
+    """Range of a row (id in descending order, nulls last), and its part of the range, by the text's hash.
+
+    A place that holds several ranges' worth of rows is one range in as many parts.
+    """
+    found = rows.agg(F.percentile_approx("at", [i / ranges for i in range(1, ranges)], 20 * ranges).alias("q"), F.count("*").alias("n"), F.count_if(F.col("at").isNull()).alias("nulls")).first()
+    quantiles = found.q or []
+    cuts = sorted(set(quantiles))
+    bucket = F.when(F.col("at").isNull(), F.lit(2 * len(cuts) + 1))
+    # an even range lies between two cuts, an odd one is a cut itself
+    if cuts:
+        less = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("at")))
+        bucket = bucket.otherwise(2 * len(cuts) - 2 * less - F.when(F.array_contains(F.array(*map(F.lit, cuts)), F.col("at")), 1).otherwise(0))
+    else:
+        bucket = bucket.otherwise(0)
+    hot = {2 * len(cuts) - 2 * i - 1: quantiles.count(c) for i, c in enumerate(cuts) if quantiles.count(c) > 1}
+    hot |= {2 * len(cuts) + 1: ranges * found.nulls // max(1, found.n) + 1}
+    parts = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair]), F.col("bucket")), F.lit(1))
+    return bucket.cast("int"), F.shiftright(F.shiftrightunsigned("h", 32) * parts, 31).cast("int")
+
+
 def fingerprint_docs(
     docs: DataFrame,
     *,
@@ -145,50 +212,57 @@ def fingerprint_docs(
     text_col: str = "text",
     chain: int = 3,
     step: int = 1,
-    threshold: float = 0.0,
+    threshold: int = 80,
 ) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and their likenesses.
+    """Fingerprints of every text and of its edited text, their likenesses, and its near copies over the whole table.
 
     The edited text has its last third replaced by the start of the next
-    document, in descending order of id (nulls last; rows of one id by text;
-    behind the last comes the first, behind a single row that row). A null text
-    is empty; an empty one has the empty fingerprint. ``threshold`` prunes:
-    likenesses that set lengths keep under it are given as 0. Other columns are
-    ignored; repeated rows come back repeated.
-
-    Ids (numbers) are cut into ranges at quantiles (one number a range reaches the
-    driver); each range is read in order, and gets the head of the next range
-    as its tail, so that no task needs more than one row of another.
+    document, in descending order of id (nulls last; rows of one id by their
+    text's hash; behind the last comes the first, behind a single row that row). A
+    null text is empty; an empty one has the empty fingerprint. copies_id is the
+    least id reachable over pairs of fingerprints of ``threshold`` % likeness or
+    more, the row's own included. Whole texts are read, however long. Ids are
+    numbers or strings. Other columns are ignored, whatever their names; repeated
+    rows come back repeated; an empty table gives an empty one.
+
+    Ids are cut into ranges at quantiles (one number a range reaches the driver),
+    an id that many rows share into parts by the text's hash; each part is read in
+    order, and gets the head of the next as its tail, so that no task needs more
+    than one row of another.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "fingerprints")
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    ranges = 4 * partitions(spark)
-    ordered = narrow.withColumn("at", F.col("id"))
-    cuts = ordered.select(F.percentile_approx("at", [i / ranges for i in range(1, ranges)], 20 * ranges).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    # bucket 0 holds the greatest ids; a null id comes last
-    bucket = F.when(F.col("at").isNull(), F.lit(len(cuts) + 1))
-    bucket = bucket.otherwise(len(cuts) - F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("at")))) if cuts else bucket.otherwise(0)
-    placed = ordered.withColumn("bucket", bucket.cast("int"))
-    # the first row of every bucket, by id, then text: a row a range
-    tops = placed.groupBy("bucket").agg(F.max("at").alias("top"))
-    firsts = placed.join(F.broadcast(tops), "bucket").filter(F.col("at").eqNullSafe(F.col("top")))
-    firsts = firsts.groupBy("bucket", "id").agg(F.min("text").alias("text"))
-    firsts = firsts.withColumn("r", F.expr("row_number() over (partition by bucket order by id desc nulls last, text)")).filter("r = 1")
-    heads = work.put(firsts.select("bucket", "id", "text"))
-    held = [r.bucket for r in heads.select("bucket").orderBy("bucket").collect()]
-    if not held:
-        before = {}
-    else:
-        before = {held[i]: held[i - 1] for i in range(len(held))}  # of the first: the last
-    follows = spark.createDataFrame(list(before.items()) or [(0, 0)], "bucket int, target int")
-    tails = heads.join(F.broadcast(follows), "bucket").select(F.col("target").alias("bucket"), F.lit(1).alias("tail"), "id", "text")
-    rows = placed.select("bucket", F.lit(0).alias("tail"), "id", "text").unionByName(tails)
-    rows = rows.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "tail", F.col("id").desc_nulls_last(), "text")
-    id_type = narrow.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(
-        _rows(chain, step, threshold),
-        f"id {id_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_partition int",
+    # the hash without its lowest bit, so that it orders as an unsigned number
+    narrow = narrow.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    kind = narrow.schema["id"].dataType
+    named = narrow.select(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("h").alias("h")).alias("row"), "text")
+    copies = work.put(components(named, SpotSigs(threshold, chain, step), id_col="row", text_col="text").select("row.id", "row.h", F.col("component_id.id").alias("other")).distinct())
+
+    placed = narrow.withColumn("at", _place(F.col("id"), kind))
+    bucket, part = _buckets(placed, 4 * partitions(spark))
+    place = lambda df: df.withColumn("at", _place(F.col("id"), kind)).withColumn("bucket", bucket).withColumn("part", part)
+    placed = place(narrow)
+    # the first row of every part, by id, then hash: a row a part
+    first = F.struct(F.col("id").isNotNull().alias("some"), F.col("id").alias("id"), (-F.col("h")).alias("back"))
+    tops = placed.groupBy("bucket", "part").agg(F.max(first).alias("top"))
+    firsts = placed.join(F.broadcast(tops), ["bucket", "part"]).filter(F.col("id").eqNullSafe(F.col("top.id")) & (-F.col("h") == F.col("top.back")))
+    heads = work.put(firsts.groupBy("bucket", "part", "id", "h").agg(F.min("text").alias("text")))
+    held = [(r.bucket, r.part) for r in heads.select("bucket", "part").distinct().orderBy("bucket", "part").collect()]
+    before = [(*held[i], *held[i - 1]) for i in range(len(held))]  # of the first: the last
+    follows = spark.createDataFrame(before or [(0, 0, 0, 0)], "bucket int, part int, to_bucket int, to_part int")
+    no = F.lit(None).cast(kind).alias("other")
+    tails = heads.join(F.broadcast(follows), ["bucket", "part"]).select(F.col("to_bucket").alias("bucket"), F.col("to_part").alias("part"), F.lit(TAIL).alias("kind"), "id", "text", "h", no)
+    rows = placed.select("bucket", "part", F.lit(DOCUMENT).alias("kind"), "id", "text", "h", no).unionByName(tails)
+    rows = rows.unionByName(place(copies).select("bucket", "part", F.lit(COMPONENT).alias("kind"), "id", F.lit(None).cast("string").alias("text"), "h", "other"))
+    order = ["bucket", "part", (F.col("kind") == TAIL), F.col("id").desc_nulls_last(), "h", "kind", "text"]
+    rows = rows.repartition(partitions(spark), "bucket", "part").sortWithinPartitions(*order)
+    key = F.when(F.col("kind") != TAIL, F.concat_ws(":", F.col("id").cast("string"), F.col("h").cast("string"))).alias("key")
+    sent = rows.select(F.struct("bucket", "part").cast("string").alias("bucket"), "kind", "id", "text", key, "other")
+    id_type = kind.simpleString()
+    out = sent.mapInArrow(
+        _rows(chain, step, threshold / 100),
+        f"id {id_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_spots long, length_partition int, copies_id {id_type}",
     )
+    work.only(heads, copies)
     return out.withColumnRenamed("id", id_col)

@@ -70,3 +70,68 @@ def test_nulls_ties_repeats_and_empty_tables(documents):
     assert fingerprint_docs(docs.limit(0)).count() == 0
     (one,) = fingerprint_docs(documents([(7, "only one text")])).collect()
     assert one.near_next == 1.0
+
+
+def components(sets, threshold):
+    """Least ids reachable, by a plain comparison of all pairs."""
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("threshold", [60, 80])
+def test_near_copies_equal_brute_force(documents, threshold):
+    rng = random.Random(6)
+    rows = []
+    for i, t in corpus(6, 25):
+        rows.append((i, t))
+        for k in range(rng.randrange(0, 4)):
+            words = t.split()
+            for _ in range(rng.randrange(0, 8)):
+                words[rng.randrange(len(words))] = rng.choice(["the", "w7", "own"])
+            rows.append((1000 + 10 * i + k, " ".join(words)))
+    rows += [(9000 + i, "the one shared passage of words and more of the same " * 3 + f"own{i}") for i in range(8)] + [(9100, ""), (9101, "")]
+    got = {r.doc_id: (r.copies_id, r.n_spots) for r in fingerprint_docs(documents(rows).repartition(4), threshold=threshold).collect()}
+    sets = {i: set(spots(t.encode(), anchor_hashes(), 3, 1).tolist()) for i, t in rows}
+    expected = components(sets, threshold)
+    assert got == {i: (expected[i], len(s)) for i, s in sets.items()}
+    assert sum(i != c for i, c in expected.items()) > 10
+
+
+def test_rare_spots_go_first():
+    import numpy as np
+
+    from aquilith.llm.fingerprints import SpotSigs
+    from aquilith.llm.simjoin import CELLS, cell_of
+
+    family = SpotSigs(80, 3, 1)
+    s = np.arange(50, dtype=np.uint64)
+    counts = np.zeros(CELLS, np.int64)
+    counts[cell_of(s[:39])] = 9
+    mine, _ = family.with_counts(counts).signatures(s)
+    other, _ = family.with_counts(counts).signatures(s[39:])
+    assert len(mine) == 11 and len(set(mine.tolist()) & set(other.tolist())) in (0, 3)
+
+
+def test_string_ids_hot_ids_and_long_texts(documents):
+    rows = [(i % 3 if i % 2 else None, f"the text {i} of words and more {'x' * i}") for i in range(120)] + [(7, "the long text of " * 40_000)]
+    docs = documents(rows).repartition(3)
+    got = fingerprint_docs(docs).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in got) == sorted((str(i), len(t)) for i, t in rows)
+    named = docs.withColumn("doc_id", F.concat(F.lit("é-"), F.col("doc_id").cast("string")))
+    got = {(r.doc_id, r.n_chars, r.edited_sha256) for r in fingerprint_docs(named).collect()}
+    order = sorted(((f"é-{i}" if i is not None else None, t) for i, t in rows), key=lambda x: (x[0] is not None, x[0] or ""), reverse=True)
+    assert {(i, n) for i, n, _ in got} == {(i, len(t)) for i, t in order}
+    top, after = [r for r in order if r[0] == "é-7"][0], [t for i, t in order if i == "é-2"]
+    mine = next(s for i, n, s in got if i == top[0])
+    assert mine in {hashlib.sha256(edited(top[1], t).encode()).hexdigest() for t in after}
