@@ -363,12 +363,18 @@ def encoder(path: str, seed: int, dropout: float) -> Encoder:
     return Encoder(path, seed=seed, dropout=dropout)
 
 
-def _rows(path: str, seed: int, dropout: float):
+def _rows(path: str, seed: int, dropout: float, runs: bool):
     def run(batches):
         e = encoder(path, seed, dropout)
+        last, number = None, 0
         for b in batches:
             ids, texts = b.column(0).to_pylist(), [t.decode("utf-8", "replace") if t is not None else None for t in binary_values(b.column(1))]
-            got = e.ids([t or "" for t in texts], list(map(e.draw, ids, b.column(2).to_pylist())))
+            copies = b.column(2).to_pylist()
+            if runs:
+                for i, row in enumerate(zip(ids, texts, strict=True)):
+                    number = number + 1 if row == last else 0
+                    last, copies[i] = row, number
+            got = e.ids([t or "" for t in texts], list(map(e.draw, ids, copies)))
             same = [None if t is None else e.decode(g) == t for t, g in zip(texts, got, strict=True)]
             sizes = np.fromiter((len(g) // 2 for g in got), np.int64, len(got))
             flat = pa.array(np.frombuffer(b"".join(got), "<u2").astype(np.int32))
@@ -387,19 +393,22 @@ def encode_docs(
     seed: int = 17,
     dropout: float = 0.1,
     copy_col: str | None = None,
+    number_runs: bool = False,
 ) -> DataFrame:
-    """(id, n_tokens, tokens, lossless) for every row: ids of the whole text.
+    """(id, n_tokens, tokens, lossless) for every row: ids of the whole text, however long.
 
     Every occurrence of a word is cut by itself; equal seeds give equal ids.
-    ``copy_col`` numbers the copies of a document, which are then cut differently.
+    ``copy_col`` numbers the copies of a document, which are then cut differently;
+    with ``number_runs`` equal rows that follow each other, as a mix writes them,
+    are numbered as they are read (a run that a file split parts begins anew).
     ``lossless`` says that the ids decode to the text. A null or empty text has no
     tokens (lossless null or true). Other columns are ignored; repeated rows of
-    one copy number come back repeated and equal.
+    one copy number come back repeated and equal; an empty table gives an empty one.
     """
     copy = F.lit(0) if copy_col is None else F.col(f"`{copy_col}`").cast("int")
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), copy.alias("copy"))
     id_type = narrow.schema["id"].dataType.simpleString()
-    out = narrow.mapInArrow(_rows(path, seed, dropout), f"id {id_type}, n_tokens long, tokens array<int>, lossless boolean")
+    out = narrow.mapInArrow(_rows(path, seed, dropout, number_runs), f"id {id_type}, n_tokens long, tokens array<int>, lossless boolean")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -130,3 +130,12 @@ def test_copies_of_a_document_differ(documents):
     got = encode_docs(docs, copy_col="copy").collect()
     assert len({tuple(r.tokens) for r in got}) == 3 and all(r.lossless for r in got)
     assert len({tuple(r.tokens) for r in encode_docs(docs).collect()}) == 1
+
+
+def test_runs_of_equal_rows_are_cut_differently(spark, documents):
+    text = "understanding international organisations " * 20
+    docs = documents([(1, text), (1, text), (1, text), (2, text), (1, text)]).coalesce(1)
+    got = encode_docs(docs, number_runs=True).collect()
+    tokens = [tuple(r.tokens) for r in got]
+    assert len(set(tokens[:3])) == 3 and tokens[4] == tokens[0] and all(r.lossless for r in got)
+    assert [tuple(r.tokens) for r in encode_docs(docs, number_runs=True).collect()] == tokens
