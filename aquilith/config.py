@@ -8,7 +8,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
 
-PREFIX = "smartmeter."
+PREFIX = "aquilith."
 
 
 @dataclass(frozen=True)
@@ -19,6 +19,10 @@ class Config:
     max_clock_skew_hours: int = 1
     max_plausible_liters: float = 1e9
     max_offsets_per_trigger: int = 2_000_000
+    namespace: str = ""
+    topic: str = ""
+    consumer_group: str = "bronze-streaming"
+    secret_scope: str = ""
     trigger: str = "30 seconds"
 
     def guard(self) -> Config:
@@ -34,7 +38,7 @@ class Config:
 
     @classmethod
     def from_conf(cls, spark: SparkSession) -> Config:
-        """Keys ``smartmeter.<name>``, also under ``bronze.`` or ``silver.``."""
+        """Keys ``aquilith.<name>``, also under ``bronze.`` or ``silver.``."""
         found = {}
         for f in fields(cls):
             for part in ("", "bronze.", "silver."):
@@ -54,5 +58,8 @@ class Config:
             parser.add_argument(f"--{name.replace('_', '-')}", type=type(default), default=default)
         return cls(**vars(parser.parse_args(argv)))
 
+    #: When the reconciliation runs, in UTC: a cron line, minute first.
+    schedule = "30 2 * * *"
+
     def table(self, schema: str, name: str) -> str:
         return ".".join(x for x in (self.catalog, schema, name) if x)

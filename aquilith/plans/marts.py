@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..operators.enrich import current
+
+
+def total(name: str) -> Column:
+    """A sum of doubles that does not depend on the order of rows: added as decimals of nine places."""
+    return F.sum(F.col(name).cast("decimal(38,9)")).cast("double")
+
 
 def by_meter() -> WindowSpec:
     return Window.partitionBy("meter_id").orderBy("reading_timestamp")
@@ -28,7 +35,7 @@ def deltas(silver: DataFrame) -> DataFrame:
 
 def consumption(silver: DataFrame, unit: str) -> DataFrame:
     """Liters by meter and hour, day, month or quarter."""
-    return deltas(silver).groupBy("meter_id", F.date_trunc(unit, "reading_timestamp").alias("period")).agg(F.sum("used_liters").alias("liters"), F.count("*").alias("n_readings"))
+    return deltas(silver).groupBy("meter_id", F.date_trunc(unit, "reading_timestamp").alias("period")).agg(total("used_liters").alias("liters"), F.count("*").alias("n_readings"))
 
 
 def daily_usage(silver: DataFrame, limit: float) -> DataFrame:
@@ -36,10 +43,13 @@ def daily_usage(silver: DataFrame, limit: float) -> DataFrame:
 
 
 def area_balance(silver: DataFrame, dim_dma: DataFrame, supply: DataFrame) -> DataFrame:
-    """By area and day: supplied (given) against metered liters, the loss share, and whether it exceeds the target."""
-    metered = deltas(silver).groupBy("dma_id", F.to_date("reading_timestamp").alias("day")).agg(F.sum("used_liters").alias("metered_liters"))
+    """By area and day: supplied (given) against metered liters, the loss share, and whether it exceeds the target.
+
+    Areas that the dimension lacks stay, without name and target.
+    """
+    metered = deltas(silver).groupBy("dma_id", F.to_date("reading_timestamp").alias("day")).agg(total("used_liters").alias("metered_liters"))
     joined = supply.join(metered, ["dma_id", "day"], "left").withColumn("metered_liters", F.coalesce("metered_liters", F.lit(0.0)))
-    joined = joined.join(dim_dma.filter("is_current").select("dma_id", "dma_name", "target_nrw_pct"), "dma_id")
+    joined = joined.join(current(dim_dma, "dma_id").select("dma_id", "dma_name", "target_nrw_pct"), "dma_id", "left")
     nrw = F.when(F.col("supplied_liters") > 0, 100 * (F.col("supplied_liters") - F.col("metered_liters")) / F.col("supplied_liters"))
     return joined.withColumn("nrw_pct", nrw).withColumn("over_target", F.col("nrw_pct") > F.col("target_nrw_pct"))
 
@@ -47,20 +57,20 @@ def area_balance(silver: DataFrame, dim_dma: DataFrame, supply: DataFrame) -> Da
 def customer_usage(silver_with_customer: DataFrame) -> DataFrame:
     """Liters by customer and billing period (month or quarter, as the customer's cycle says)."""
     period = F.when(F.col("billing_cycle") == "MONTHLY", F.trunc("reading_timestamp", "month")).otherwise(F.trunc("reading_timestamp", "quarter"))
-    return deltas(silver_with_customer).groupBy("ref_customer_id", "customer_type", period.alias("period")).agg(F.sum("used_liters").alias("liters"), F.countDistinct("meter_id").alias("n_meters"))
+    return deltas(silver_with_customer).groupBy("ref_customer_id", "customer_type", period.alias("period")).agg(total("used_liters").alias("liters"), F.countDistinct("meter_id").alias("n_meters"))
 
 
 def operations(hourly: DataFrame, daily: DataFrame) -> DataFrame:
     """By day: liters, peak meter-hour, anomalies."""
     h = hourly.groupBy(F.to_date("period").alias("day")).agg(F.max("liters").alias("peak_hour_liters"))
-    d = daily.groupBy(F.to_date("period").alias("day")).agg(F.sum("liters").alias("liters"), F.count_if("is_anomaly").alias("n_anomalies"))
+    d = daily.groupBy(F.to_date("period").alias("day")).agg(total("liters").alias("liters"), F.count_if("is_anomaly").alias("n_anomalies"))
     return h.join(d, "day")
 
 
 def executive(areas: DataFrame, customers: DataFrame) -> DataFrame:
     """Totals over areas and customers, one row a customer type."""
-    a = areas.agg(F.sum("supplied_liters").alias("supplied_liters"), F.count_if("over_target").alias("n_over_target"))
-    c = customers.groupBy("customer_type").agg(F.sum("liters").alias("liters"), F.countDistinct("ref_customer_id").alias("n_customers"))
+    a = areas.agg(total("supplied_liters").alias("supplied_liters"), F.count_if("over_target").alias("n_over_target"))
+    c = customers.groupBy("customer_type").agg(total("liters").alias("liters"), F.countDistinct("ref_customer_id").alias("n_customers"))
     return c.crossJoin(F.broadcast(a))  # one row on the right
 
 
@@ -82,3 +92,18 @@ def features(silver: DataFrame) -> DataFrame:
         F.count("*").over(seconds).alias("n_last_day"),
         F.lag("used_liters", 2).over(by_meter()).alias("lag2"),
     )
+
+
+def sessions(rows: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """(meter_id, started, ended, n_rows): runs of a meter's readings with less than ``gap`` between them; of streams with a watermark too."""
+    timed = rows.filter("meter_id is not null and reading_timestamp is not null")
+    window = timed.groupBy("meter_id", F.session_window("reading_timestamp", gap).alias("w")).agg(F.max("reading_timestamp").alias("ended"), F.count("*").alias("n_rows"))
+    return window.select("meter_id", F.col("w.start").alias("started"), "ended", "n_rows")
+
+
+def anomalies(silver: DataFrame, threshold: float = 3.0, last: int = 12) -> DataFrame:
+    """(meter_id, reading_timestamp, used_liters, score): readings over ``threshold`` times the greatest use among the meter's ``last`` before."""
+    before = by_meter().rowsBetween(-last, -1)
+    top = F.max("used_liters").over(before)
+    scored = deltas(silver).select("meter_id", "reading_timestamp", "used_liters", F.when(top > 0, F.col("used_liters") / top).alias("score"))
+    return scored.filter(F.col("score") > threshold)

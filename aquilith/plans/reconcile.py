@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from ..operators.enrich import enrich
 from ..operators.merge import insert_absent, merge_latest
 from ..operators.route import quarantine, recent, valid
 from ..session import in_utc
-from ..sources.tables import Table
+from ..sources.tables import BY_POSITION, BY_READING, Table
 
 
 def validated(bronze: DataFrame, dim_meter: DataFrame, dim_dma: DataFrame, *, config: Config = Config(), now: datetime | Column | None = None) -> DataFrame:
@@ -30,23 +30,28 @@ def reconciled(bronze: DataFrame, silver: DataFrame, quarantined: DataFrame, dim
     return merge_latest(silver, valid(rows)), quarantined.unionByName(insert_absent(quarantined, bad))
 
 
+def _first_day(now: datetime, config: Config) -> str:
+    """The first date partition that a run reads."""
+    return str((now.astimezone(UTC) - timedelta(days=config.lookback_days)).date())
+
+
 def run(spark: SparkSession, config: Config, *, bronze: Table, silver: Table, quarantined: Table, dim_meter: DataFrame, dim_dma: DataFrame, now: datetime) -> None:
     """One run over tables. The clock is fixed, so both merges judge rows alike, and a second run changes nothing."""
     config.guard()
     in_utc(spark)
-    rows = validated(recent(bronze.read(), config.lookback_days, F.lit(now).cast("date")), dim_meter, dim_dma, config=config, now=now)
+    rows = validated(recent(bronze.read(since=_first_day(now, config)), config.lookback_days, F.lit(now).cast("date")), dim_meter, dim_dma, config=config, now=now)
     silver.upsert(valid(rows))
     quarantined.insert_absent(quarantine(rows, now))
 
 
 def main(argv: list[str]) -> None:
-    """``reconcile --catalog C``: the run over the catalog's tables, named by Spark conf ``smartmeter.path``."""
-    from ..schemas import BRONZE, QUARANTINE_COLUMNS, SILVER_COLUMNS  # noqa: F401
+    """``reconcile --catalog C``: the run over the catalog's tables, named by Spark conf ``aquilith.path``."""
+    from ..schemas import BRONZE
     from ..session import build
 
     config = Config.from_args(argv).guard()
     spark = build()
-    root = f"{spark.conf.get('smartmeter.path')}/{config.catalog}"
+    root = f"{spark.conf.get('aquilith.path')}/{config.catalog}"
     dims = {d: spark.read.parquet(f"{root}/reference/{d}") for d in ("dim_meter", "dim_dma")}
     empty = validated(spark.createDataFrame([], BRONZE), dims["dim_meter"], dims["dim_dma"], config=config)
     now = datetime.now().astimezone()
@@ -54,8 +59,8 @@ def main(argv: list[str]) -> None:
         spark,
         config,
         bronze=Table(spark, f"{root}/bronze/meter_telemetry", BRONZE),
-        silver=Table(spark, f"{root}/silver/meter_readings", valid(empty).schema),
-        quarantined=Table(spark, f"{root}/quarantine/silver_meter_readings_quarantine", quarantine(empty).schema),
+        silver=Table(spark, f"{root}/silver/meter_readings", valid(empty).schema, parts=BY_READING),
+        quarantined=Table(spark, f"{root}/quarantine/silver_meter_readings_quarantine", quarantine(empty).schema, parts=BY_POSITION),
         now=now,
         **dims,
     )

@@ -9,18 +9,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .catalog import load_seeds
 from .config import Config
 from .functions.avro import decoded, encoded
 from .functions.rules import soft_metrics
 from .functions.units import to_liters
 from .operators.bronze import to_bronze
 from .operators.enrich import current, dma_columns, enrich, enrich_as_of, meter_columns, with_customer
-from .operators.governance import masked, row_filter, top_similar
+from .operators.governance import expired, masked, row_filter, top_similar
 from .operators.merge import insert_absent, merge_latest
 from .operators.route import latest, quarantine, recent, valid, with_lateness
 from .plans import marts
@@ -29,8 +31,8 @@ from .schemas import BRONZE, EVENT, SILVER_COLUMNS
 from .session import in_utc
 from .sources import fixtures, synthetic
 from .sources.fixtures import EXPRESSIONS, LAG_SECONDS, NOW
-from .sources.log import produce, replay_stream
-from .sources.tables import Table
+from .sources.log import as_log, produce, replay_stream
+from .sources.tables import BY_POSITION, BY_READING, Table
 from .streaming.pipeline import bronze_stream, silver_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +76,8 @@ def flat(df: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new folder that all nodes share: under spark.checkpoint.dir, or a temporary one where that is unset."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
     return f"{named.rstrip('/')}/aquilith-{uuid.uuid4().hex}" if named else f"file://{tempfile.mkdtemp(prefix='aquilith-')}"
 
 
@@ -159,15 +163,30 @@ _EVENT_COLUMNS = EVENT.fieldNames()
 _BRONZE_COLUMNS = [*_EVENT_COLUMNS, "raw_payload", "parse_error", "kafka_partition", "kafka_offset", "kafka_timestamp", "ingest_date"]
 
 
-@query(_WITH + f"SELECT {_sql_flat([c for c in _BRONZE_COLUMNS if c != 'kafka_timestamp'])}, epoch_us(ingest_timestamp) AS kafka_timestamp FROM bronze")
-def q01_bronze_project(spark, sf_dir):
-    return flat(_bronze(spark, sf_dir).select(*_BRONZE_COLUMNS))
-
-
 _ENCODABLE = "meter_id IS NOT NULL AND reading_timestamp IS NOT NULL AND reading_value IS NOT NULL AND unit IN ('LITERS', 'GALLONS', 'CUBIC_METERS')"
 _MILLIS = lambda c: f"CAST(floor(epoch_us({c}) / 1000) AS BIGINT) * 1000 AS {c}"
 
 
+_DOUBLE_EVENT = [c for c in _EVENT_COLUMNS if c not in _TIMES]
+_WIRE = f"""wire AS (SELECT kafka_partition, kafka_offset, ingest_timestamp AS kafka_timestamp, ok, CASE WHEN ok THEN NULL ELSE 'avro_deserialization_failed' END AS parse_error, sent,
+{", ".join(f"CASE WHEN ok THEN {c} END AS {c}" for c in _EVENT_COLUMNS)} FROM (SELECT *, coalesce({_ENCODABLE}, FALSE) AS sent, coalesce({_ENCODABLE}, FALSE) {{more}} AS ok FROM bronze))"""
+
+
+@query(
+    _WITH
+    + f""", {_WIRE.format(more="AND kafka_offset % 7 <> 0 AND kafka_offset % 11 <> 0")}
+SELECT kafka_partition, kafka_offset, epoch_us(kafka_timestamp) AS kafka_timestamp, {_sql_flat(_DOUBLE_EVENT)}, {_MILLIS('reading_timestamp')}, {_MILLIS('ingest_timestamp')}, parse_error,
+CAST(CASE WHEN ok THEN CAST(ingest_timestamp AS DATE) ELSE DATE '2024-01-25' END AS VARCHAR) AS ingest_date, epoch_us(TIMESTAMP '2024-01-25 00:00:00') AS ingested_at, kafka_offset % 11 <> 0 AND sent AS has_payload FROM wire"""
+)
+def q01_bronze_project(spark, sf_dir):
+    """Log rows through the Bronze projection; some payloads are cut short and some are missing."""
+    log = as_log(_bronze(spark, sf_dir))
+    cut = F.expr("substring(value, 1, length(value) - 1)")
+    value = F.when(F.col("offset") % 11 == 0, F.lit(None)).when(F.col("offset") % 7 == 0, cut).otherwise(F.col("value"))
+    rows = to_bronze(log.withColumn("value", value), NOW)
+    return flat(rows.withColumn("has_payload", F.col("raw_payload").isNotNull()).drop("raw_payload"))
+
+
 @query(
     _WITH
     + f"SELECT kafka_partition, kafka_offset, {_sql_flat([c for c in _EVENT_COLUMNS if c not in _TIMES])}, {_MILLIS('reading_timestamp')}, {_MILLIS('ingest_timestamp')} FROM bronze WHERE {_ENCODABLE}"
@@ -298,27 +317,29 @@ def q16_watermark_split(spark, sf_dir):
     return with_lateness(_bronze(spark, sf_dir), 24, now=NOW).select("kafka_partition", "kafka_offset", "is_late")
 
 
-_STREAMED = [c for c in SILVER_COLUMNS if c not in ("reading_timestamp", "ingest_timestamp", "reading_local_timestamp")]
-_OTHER_CODES = ", ".join(f"CASE WHEN NOT ({ok}) THEN '{code}' END" for code, ok in _REASONS[1:])
-
-
 @query(
     _WITH
-    + f"""SELECT {_sql_flat(_STREAMED)}, {_MILLIS('reading_timestamp')} FROM (SELECT *, row_number() OVER (PARTITION BY meter_id, reading_timestamp
-ORDER BY ingest_timestamp DESC, kafka_offset DESC, kafka_partition DESC) AS r FROM enriched WHERE concat_ws('|', {_OTHER_CODES}) = '') WHERE r = 1"""
+    + f""", {_WIRE.format(more="")},
+told AS (SELECT *, concat_ws('|', {_CODES}) AS reasons, reading_value * ({_FACTOR}) AS liters FROM wire LEFT JOIN dim_meter ON meter_id = m_id LEFT JOIN dim_dma ON dma_id = ref_dma_id),
+kept AS (SELECT *, row_number() OVER (PARTITION BY meter_id, reading_timestamp ORDER BY ingest_timestamp DESC, kafka_offset DESC, kafka_partition DESC) AS r FROM told WHERE reasons = '')
+SELECT kind, kafka_partition, kafka_offset, meter_id, {_MILLIS('reading_timestamp')}, unit, round(reading_value, 4) AS reading_value, round(liters, 4) AS liters, dma_id, area, reasons FROM
+(SELECT 'silver' AS kind, *, ref_dma_name AS area FROM (SELECT * EXCLUDE (r) FROM kept WHERE r = 1) UNION ALL SELECT 'quarantine', * REPLACE (NULL AS liters), NULL FROM told WHERE reasons <> '')"""
 )
 def q17_stream_bronze_silver(spark, sf_dir):
-    """The log replayed through both streams, several micro-batches each."""
+    """The log replayed through both streams, several micro-batches each: Silver, and what is quarantined."""
     root = scratch(spark)
     produce(_bronze(spark, sf_dir), f"{root}/log", files=3)
     dims = lambda: (fixtures.dim_meter(spark, sf_dir), fixtures.dim_dma(spark, sf_dir))
     bronze = Table(spark, f"{root}/bronze", BRONZE)
     bronze_stream(replay_stream(spark, f"{root}/log"), bronze, f"{root}/cp-bronze", now=NOW, once=True).awaitTermination()
     judged = validated(bronze.read(), *dims(), now=NOW)
-    silver, bad = Table(spark, f"{root}/silver", valid(judged).schema), Table(spark, f"{root}/quarantine", quarantine(judged, NOW).schema)
-    stream = spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", 40).option("recursiveFileLookup", "true").parquet(f"{root}/bronze/data")
-    silver_stream(stream, silver, bad, dims, f"{root}/cp-silver", now=NOW, once=True).awaitTermination()
-    return flat(silver.read().select(*_STREAMED, "reading_timestamp"))
+    silver = Table(spark, f"{root}/silver", valid(judged).schema, parts=BY_READING)
+    bad = Table(spark, f"{root}/quarantine", quarantine(judged, NOW).schema, parts=BY_POSITION)
+    silver_stream(bronze, silver, bad, dims, f"{root}/cp-silver", now=NOW, once=True).awaitTermination()
+    columns = ["kafka_partition", "kafka_offset", "meter_id", "reading_timestamp", "unit", "reading_value"]
+    s = silver.read().select(F.lit("silver").alias("kind"), *columns, F.col("reading_value_liters").alias("liters"), "dma_id", F.col("ref_dma_name").alias("area"), F.lit("").alias("reasons"))
+    q = bad.read().select(F.lit("quarantine").alias("kind"), *columns, F.lit(None).cast("double").alias("liters"), "dma_id", F.lit(None).cast("string").alias("area"), F.array_join("quarantine_reasons", "|").alias("reasons"))
+    return flat(s.unionByName(q))
 
 
 # -- marts (designed but not built by the original)
@@ -337,14 +358,14 @@ def q19_delta(spark, sf_dir):
     return flat(marts.deltas(_silver(spark, sf_dir)).select("meter_id", "reading_timestamp", "delta_liters", "used_liters"))
 
 
-@query(_WITH + "SELECT meter_id, epoch_us(date_trunc('hour', reading_timestamp)) AS period, round(sum(used_liters), 4) AS liters, count(*) AS n_readings FROM deltas GROUP BY meter_id, date_trunc('hour', reading_timestamp)")
+@query(_WITH + "SELECT meter_id, epoch_us(date_trunc('hour', reading_timestamp)) AS period, round(sum(used_liters::DECIMAL(38,9))::DOUBLE, 4) AS liters, count(*) AS n_readings FROM deltas GROUP BY meter_id, date_trunc('hour', reading_timestamp)")
 def q20_hourly(spark, sf_dir):
     return flat(marts.consumption(_silver(spark, sf_dir), "hour"))
 
 
 @query(
     _WITH
-    + "SELECT meter_id, epoch_us(CAST(CAST(reading_timestamp AS DATE) AS TIMESTAMP)) AS period, round(sum(used_liters), 4) AS liters, count(*) AS n_readings, sum(used_liters) > 5000 AS is_anomaly FROM deltas GROUP BY meter_id, CAST(reading_timestamp AS DATE)"
+    + "SELECT meter_id, epoch_us(CAST(CAST(reading_timestamp AS DATE) AS TIMESTAMP)) AS period, round(sum(used_liters::DECIMAL(38,9))::DOUBLE, 4) AS liters, count(*) AS n_readings, sum(used_liters::DECIMAL(38,9))::DOUBLE > 5000 AS is_anomaly FROM deltas GROUP BY meter_id, CAST(reading_timestamp AS DATE)"
 )
 def q21_daily(spark, sf_dir):
     return flat(marts.daily_usage(_silver(spark, sf_dir), 5000.0))
@@ -357,7 +378,7 @@ def _areas(spark, sf_dir):
 
 
 _AREAS = """areas AS (SELECT *, 100 * (supplied_liters - metered_liters) / supplied_liters AS nrw_pct FROM
-(SELECT dma_id, CAST(reading_timestamp AS DATE) AS day, any_value(ref_dma_name) AS dma_name, any_value(target_nrw_pct) AS target_nrw_pct, 40000.0::DOUBLE + 1000.0::DOUBLE * CAST(dma_id AS INT) AS supplied_liters, sum(used_liters) AS metered_liters FROM deltas GROUP BY dma_id, CAST(reading_timestamp AS DATE)))"""
+(SELECT dma_id, CAST(reading_timestamp AS DATE) AS day, any_value(ref_dma_name) AS dma_name, any_value(target_nrw_pct) AS target_nrw_pct, 40000.0::DOUBLE + 1000.0::DOUBLE * CAST(dma_id AS INT) AS supplied_liters, sum(used_liters::DECIMAL(38,9))::DOUBLE AS metered_liters FROM deltas GROUP BY dma_id, CAST(reading_timestamp AS DATE)))"""
 
 
 @query(
@@ -369,7 +390,7 @@ def q22_dma(spark, sf_dir):
 
 
 _CUSTOMERS = """cust AS (SELECT 'C' || c_custkey AS cid, c_mktsegment AS customer_type, CASE WHEN c_acctbal < 0 THEN 'ARREARS' ELSE 'OPEN' END AS account_status, CASE WHEN c_custkey % 2 = 0 THEN 'MONTHLY' ELSE 'QUARTERLY' END AS billing_cycle FROM customer),
-usage AS (SELECT ref_customer_id, customer_type, CAST(CASE WHEN billing_cycle = 'MONTHLY' THEN date_trunc('month', reading_timestamp) ELSE date_trunc('quarter', reading_timestamp) END AS DATE) AS period, sum(used_liters) AS liters, count(DISTINCT meter_id) AS n_meters
+usage AS (SELECT ref_customer_id, customer_type, CAST(CASE WHEN billing_cycle = 'MONTHLY' THEN date_trunc('month', reading_timestamp) ELSE date_trunc('quarter', reading_timestamp) END AS DATE) AS period, sum(used_liters::DECIMAL(38,9))::DOUBLE AS liters, count(DISTINCT meter_id) AS n_meters
 FROM deltas LEFT JOIN cust ON ref_customer_id = cid GROUP BY ALL)"""
 
 
@@ -385,11 +406,11 @@ def q23_customer(spark, sf_dir):
 @query(
     _WITH
     + f""", {_AREAS}, {_CUSTOMERS},
-hourly AS (SELECT meter_id, date_trunc('hour', reading_timestamp) AS p, sum(used_liters) AS liters FROM deltas GROUP BY ALL),
-daily AS (SELECT meter_id, CAST(reading_timestamp AS DATE) AS day, sum(used_liters) AS liters FROM deltas GROUP BY ALL)
-SELECT 'operations' AS board, CAST(d.day AS VARCHAR) AS item, round(peak, 4) AS a, round(liters, 4) AS b, n AS c FROM (SELECT day, sum(liters) AS liters, count(*) FILTER (WHERE liters > 5000) AS n FROM daily GROUP BY day) d
+hourly AS (SELECT meter_id, date_trunc('hour', reading_timestamp) AS p, sum(used_liters::DECIMAL(38,9))::DOUBLE AS liters FROM deltas GROUP BY ALL),
+daily AS (SELECT meter_id, CAST(reading_timestamp AS DATE) AS day, sum(used_liters::DECIMAL(38,9))::DOUBLE AS liters FROM deltas GROUP BY ALL)
+SELECT 'operations' AS board, CAST(d.day AS VARCHAR) AS item, round(peak, 4) AS a, round(liters, 4) AS b, n AS c FROM (SELECT day, sum(liters::DECIMAL(38,9))::DOUBLE AS liters, count(*) FILTER (WHERE liters > 5000) AS n FROM daily GROUP BY day) d
 JOIN (SELECT CAST(p AS DATE) AS day, max(liters) AS peak FROM hourly GROUP BY 1) h ON d.day = h.day
-UNION ALL SELECT 'executive', customer_type, round(liters, 4), s, n FROM (SELECT customer_type, sum(liters) AS liters, count(DISTINCT ref_customer_id) AS n FROM usage GROUP BY 1), (SELECT round(sum(supplied_liters), 4) AS s FROM areas)"""
+UNION ALL SELECT 'executive', customer_type, round(liters, 4), s, n FROM (SELECT customer_type, sum(liters::DECIMAL(38,9))::DOUBLE AS liters, count(DISTINCT ref_customer_id) AS n FROM usage GROUP BY 1), (SELECT round(sum(supplied_liters::DECIMAL(38,9))::DOUBLE, 4) AS s FROM areas)"""
 )
 def q24_dashboards(spark, sf_dir):
     silver = _silver(spark, sf_dir)
@@ -431,15 +452,32 @@ def q28_customer_join(spark, sf_dir):
     return with_customer(_silver(spark, sf_dir), fixtures.dim_customer(spark, sf_dir)).select("kafka_offset", "ref_customer_id", "customer_type", "account_status", "billing_cycle")
 
 
-@query()
-def q29_synth_invariants(spark, sf_dir):
-    """A day of synthetic readings, and whether each meter's register and numbering hold."""
-    from datetime import UTC, datetime
+_UNIT = "('0x' || md5('42:' || {keys})[1:12])::BIGINT::DOUBLE / 281474976710656::DOUBLE"
+
 
+@query(
+    f"""WITH grid AS (SELECT 'MTR-' || lpad(CAST(m AS VARCHAR), 8, '0') AS meter_id, 1704067200000000 + s * 900000000 AS t FROM range(40) AS a(m), range(96) AS b(s)),
+sent AS (SELECT * FROM grid WHERE {_UNIT.format(keys="meter_id || ':' || t || ':drop'")} >= 0.02)
+SELECT meter_id, count(*) AS n, TRUE AS monotone, TRUE AS gapless, TRUE AS in_bounds, min(t) AS first, max(t) AS last FROM sent GROUP BY meter_id"""
+)
+def q29_synth_invariants(spark, sf_dir):
+    """A day of synthetic readings: how many each meter sends, and whether its register, numbering, flow, battery and delay hold."""
     master = synthetic.meters(spark, 40)
     rows = synthetic.readings(master, datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 2, tzinfo=UTC), leaks=synthetic.leaking(master, 0.1), leak_rate=0.5)
-    steps = rows.selectExpr("meter_id", "sequence_no", "reading_value - lag(reading_value) over (partition by meter_id order by reading_timestamp) as rise", "sequence_no - lag(sequence_no) over (partition by meter_id order by reading_timestamp) as step")
-    return steps.groupBy("meter_id").agg(F.count("*").alias("n"), F.coalesce(F.min("rise") >= 0, F.lit(True)).alias("monotone"), F.coalesce((F.min("step") == 1) & (F.max("step") == 1), F.lit(True)).alias("gapless"))
+    before = "over (partition by meter_id order by reading_timestamp)"
+    steps = rows.selectExpr(
+        "meter_id", "reading_timestamp", f"reading_value - lag(reading_value) {before} as rise", f"sequence_no - lag(sequence_no) {before} as step", f"lag(battery_pct) {before} - battery_pct as drained", "sequence_no",
+        f"flow_rate >= 0 and abs(flow_rate * 15 - (reading_value - coalesce(lag(reading_value) {before}, 0))) < 0.01 and battery_pct between 1 and 100 and signal_quality between 40 and 100"
+        " and unix_micros(ingest_timestamp) - unix_micros(reading_timestamp) between 1000000 and 45000000 as ok",
+    )
+    return steps.groupBy("meter_id").agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.min("rise") >= 0, F.lit(True)).alias("monotone"),
+        (F.coalesce((F.min("step") == 1) & (F.max("step") == 1), F.lit(True)) & (F.min("sequence_no") == 1)).alias("gapless"),
+        (F.bool_and("ok") & F.coalesce(F.min("drained").between(0, 1), F.lit(True))).alias("in_bounds"),
+        F.unix_micros(F.min("reading_timestamp")).alias("first"),
+        F.unix_micros(F.max("reading_timestamp")).alias("last"),
+    )
 
 
 # -- governance
@@ -468,6 +506,76 @@ def q32_vector_topk(spark, sf_dir):
     return flat(top_similar(vectors, vectors.filter("vec_id % 50 = 0"), 5))
 
 
+# -- catalog, sessions, alerts, storage, settings
+
+
+@query(
+    """WITH i AS (SELECT unnest(range(1, 31)) AS i), m AS (SELECT i, 'M-' || lpad(CAST(i AS VARCHAR), 4, '0') AS meter_id, 'C-' || lpad(CAST(i AS VARCHAR), 4, '0') AS customer_id, i % 8 + 1 AS a FROM i)
+SELECT meter_id, customer_id, 'A-' || lpad(CAST(a AS VARCHAR), 2, '0') AS dma_id, 'Area ' || a AS dma_name, ['LITERS', 'GALLONS', 'CUBIC_METERS'][i % 3 + 1] AS expected_unit, CASE WHEN i % 13 = 0 THEN 'DECOMMISSIONED' ELSE 'ACTIVE' END AS status,
+CASE WHEN i % 2 = 0 THEN 'ULTRASONIC' ELSE 'AMR' END AS meter_type, CASE WHEN i % 7 = 0 THEN 2 ELSE 1 END AS n_revisions, CASE WHEN i % 2 = 0 THEN 'MONTHLY' ELSE 'QUARTERLY' END AS billing_cycle FROM m"""
+)
+def q33_seed_load(spark, sf_dir):
+    """Reference tables created with comments, seeded twice, read back through views."""
+    where = scratch(spark)
+    prefix = f"t{uuid.uuid4().hex[:12]}_"
+    for _ in range(2):
+        names = load_seeds(spark, prefix=prefix, location=where)
+    out = spark.sql(
+        f"""SELECT m.meter_id, m.customer_id, m.dma_id, dma_name, expected_unit, status, meter_type, n_revisions, billing_cycle
+        FROM {names[0]} m JOIN (SELECT meter_id, cast(count(*) as int) AS n_revisions FROM {names[0]} GROUP BY meter_id) r ON m.meter_id = r.meter_id
+        JOIN {names[1]} d ON m.dma_id = d.dma_id JOIN {names[2]} c ON m.customer_id = c.customer_id WHERE m.is_current"""
+    )
+    return out
+
+
+@query(
+    """WITH t AS (SELECT CAST(user_id AS VARCHAR) AS meter_id, ts, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) AS gap FROM events),
+s AS (SELECT *, count(*) FILTER (WHERE gap IS NULL OR gap >= 7200000000) OVER (PARTITION BY meter_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM t)
+SELECT meter_id, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, count(*) AS n_rows FROM s GROUP BY meter_id, n"""
+)
+def q34_sessions(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return flat(marts.sessions(events.select(F.col("user_id").cast("string").alias("meter_id"), F.col("ts").cast("timestamp").alias("reading_timestamp")), "2 hours"))
+
+
+@query(
+    _WITH
+    + """SELECT meter_id, epoch_us(reading_timestamp) AS reading_timestamp, round(used_liters, 4) AS used_liters, round(used_liters / top, 4) AS score FROM
+(SELECT *, max(used_liters) OVER (PARTITION BY meter_id ORDER BY reading_timestamp ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS top FROM deltas) WHERE top > 0 AND used_liters / top > 1.5"""
+)
+def q35_anomaly_alerts(spark, sf_dir):
+    return flat(marts.anomalies(_silver(spark, sf_dir), 1.5))
+
+
+@query(
+    _WITH
+    + """SELECT DISTINCT CAST(ingest_date AS VARCHAR) AS ingest_date, CASE WHEN DATE '2024-03-31' - ingest_date > 80 THEN 'archive' WHEN DATE '2024-03-31' - ingest_date > 70 THEN 'cool' ELSE 'hot' END AS tier FROM bronze"""
+)
+def q36_storage_tiers(spark, sf_dir):
+    return flat(expired(_bronze(spark, sf_dir), "2024-03-31", cool_days=70, archive_days=80))
+
+
+@query("SELECT CAST(days AS INT) AS days, CAST(hours AS INT) AS hours, days * 24 > hours AS allowed FROM range(0, 6) AS d(days), (SELECT unnest([0, 12, 24, 48, 72, 96]) AS hours)")
+def q37_lookback_guard(spark, sf_dir):
+    """Which lookbacks the settings allow for which watermarks."""
+
+    def allowed(days: int, hours: int) -> bool:
+        try:
+            return bool(Config(lookback_days=days, watermark_hours=hours).guard())
+        except ValueError:
+            return False
+
+    return spark.createDataFrame([(d, h, allowed(d, h)) for d in range(6) for h in (0, 12, 24, 48, 72, 96)], "days int, hours int, allowed boolean")
+
+
+@query("SELECT c_custkey, sha256(c_name) AS c_name, sha256(c_mktsegment) AS c_mktsegment, c_nationkey FROM customer")
+def q38_tagged_mask(spark, sf_dir):
+    """Columns masked by the tags in their metadata."""
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    tagged = [F.col("c_custkey"), F.col("c_name").alias("c_name", metadata={"tag": "pii"}), F.col("c_mktsegment").alias("c_mktsegment", metadata={"pii": "yes"}), F.col("c_nationkey")]
+    return masked(rows.select(*tagged))
+
+
 def bronze_from_log(log: DataFrame) -> DataFrame:
     """Log rows as Bronze rows at the fixed clock."""
     return to_bronze(log, NOW)

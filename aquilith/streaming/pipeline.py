@@ -1,10 +1,12 @@
 """Bronze and Silver as streams.
 
-Bronze appends decoded log rows. Silver reads Bronze and, batch by batch,
-enriches and judges rows and feeds two tables: an upsert of valid rows and an
-append of quarantined ones. The upsert needs no stream state, so late rows are
-never dropped; lateness is a column (``with_lateness``), not a loss. Tables
-record the batches they hold, so a batch replayed after a failure is skipped.
+Bronze appends decoded log rows. Silver follows Bronze's commits and, batch by
+batch, enriches and judges the rows they added and feeds two tables: an upsert of
+valid rows and an append of quarantined ones. Directories of writes that were
+never committed are not seen. The upsert needs no stream state, so late rows are
+never dropped; the watermark only tells how many rows of a batch are late, which
+``report`` gets. Tables record the batches they hold, so a
+batch replayed after a failure is skipped.
 """
 
 from __future__ import annotations
@@ -13,10 +15,11 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config
-from ..functions.rules import observed
+from ..functions.rules import clock, observed
 from ..operators.bronze import to_bronze
 from ..operators.route import quarantine, valid
 from ..plans.reconcile import validated
@@ -33,17 +36,63 @@ def bronze_stream(log: DataFrame, table: Table, checkpoint: str, *, config: Conf
     return _start(to_bronze(log, now), "bronze", checkpoint, lambda df, n: table.append(df, ("bronze", n)), config, once)
 
 
+def commits(table: Table, max_commits: int = 1) -> DataFrame:
+    """A table's log as a stream of (version), ``max_commits`` a micro-batch.
+
+    The file source records which commits a checkpoint has seen; rows are read
+    in ``silver_stream`` by the commits' directories.
+    """
+    log = table.spark.readStream.schema("version long").option("maxFilesPerTrigger", max_commits).json(f"{table.path}/log")
+    return log.select(F.regexp_extract("_metadata.file_name", r"^(\d+)", 1).cast("long").alias("version"))
+
+
+#: Where Silver's commits keep the greatest event time seen, in microseconds.
+MARK = "silver.watermark"
+
+
+def lateness(rows: DataFrame, before: int | None, config: Config, now: datetime | Column | None) -> DataFrame:
+    """One row (seen, late): the batch's greatest sane event time, and its rows more than the watermark's hours behind ``before``.
+
+    Times beyond the clock skew move nothing, so one bad clock cannot make all that follows late.
+    """
+    at = F.col("reading_timestamp")
+    sane = F.when(at <= clock(now) + F.make_interval(hours=F.lit(config.max_clock_skew_hours)), F.unix_micros(at))
+    limit = F.lit(None).cast("long") if before is None else F.lit(before - config.watermark_hours * 3_600_000_000)
+    return rows.agg(F.max(sane).alias("seen"), F.count_if(F.unix_micros(at) < limit).alias("late"))
+
+
 def silver_stream(
-    bronze: DataFrame, silver: Table, quarantined: Table, dims: Callable[[], tuple[DataFrame, DataFrame]], checkpoint: str, *, config: Config = Config(), now: datetime | Column | None = None, once: bool = False
+    bronze: Table,
+    silver: Table,
+    quarantined: Table,
+    dims: Callable[[], tuple[DataFrame, DataFrame]],
+    checkpoint: str,
+    *,
+    config: Config = Config(),
+    now: datetime | Column | None = None,
+    once: bool = False,
+    max_commits: int = 1,
+    report: Callable[[dict], None] = lambda _: None,
 ) -> StreamingQuery:
-    """``dims`` gives the meter and area dimensions; it is asked anew for every batch."""
+    """``dims`` gives the meter and area dimensions; it is asked anew for every batch.
+
+    The rows of ``max_commits`` versions of Bronze are a batch. A commit that
+    Bronze no longer keeps stops the stream: nothing is skipped unseen. Every
+    batch moves the watermark that Silver's commits carry; ``report`` gets the
+    batch's number, its rows later than the watermark, and the watermark.
+    """
 
     def each(df: DataFrame, n: int) -> None:
-        rows = observed(validated(df, *dims(), config=config, now=now)).persist()
+        news = bronze.added([r.version for r in df.collect()])  # ``max_commits`` numbers
+        rows = observed(validated(news, *dims(), config=config, now=now)).persist()
         try:
-            silver.upsert(valid(rows), ("silver", n))
+            before = silver.manifest()["batches"].get(MARK)
+            found = lateness(rows, before, config, now).first()
+            mark = max(x for x in (before, found.seen, -(1 << 62)) if x is not None)
+            silver.upsert(valid(rows), ("silver", n), marks={MARK: mark})
             quarantined.append(quarantine(rows, now), ("silver", n))
+            report({"batch": n, "late": found.late, "watermark": mark})
         finally:
             rows.unpersist()
 
-    return _start(bronze, "silver", checkpoint, each, config, once)
+    return _start(commits(bronze, max_commits), "silver", checkpoint, each, config, once)

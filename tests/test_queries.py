@@ -23,7 +23,7 @@ def duck():
 def normal(rows, order):
     def value(v):
         if isinstance(v, float):
-            return ("nan" if math.isnan(v) else round(v + 0.0, 3))
+            return ("nan" if math.isnan(v) else round(v + 0.0, 4))
         return v
 
     return sorted((tuple(value(r[i]) for i in order) for r in rows), key=repr)

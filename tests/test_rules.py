@@ -68,6 +68,6 @@ def test_config(spark):
     with pytest.raises(ValueError, match="must exceed"):
         Config(lookback_days=1, watermark_hours=24).guard()
     assert Config.from_json('{"silver.watermark_hours": "48", "other": 1}').watermark_hours == 48
-    spark.conf.set("smartmeter.silver.max_clock_skew_hours", "2")
+    spark.conf.set("aquilith.silver.max_clock_skew_hours", "2")
     assert Config.from_conf(spark).max_clock_skew_hours == 2
-    spark.conf.unset("smartmeter.silver.max_clock_skew_hours")
+    spark.conf.unset("aquilith.silver.max_clock_skew_hours")
