@@ -37,15 +37,23 @@ def recent(df: DataFrame, days: int, today: Column | None = None) -> DataFrame:
     return df.filter(F.col("ingest_date") >= F.date_sub(today if today is not None else F.current_date(), days))
 
 
-def with_lateness(df: DataFrame, hours: int, *, by: str = "reading_timestamp", order: tuple[str, ...] = ("kafka_partition", "kafka_offset"), now: datetime | Column | None = None, skew_hours: int = 1) -> DataFrame:
+def with_lateness(
+    df: DataFrame, hours: int, *, by: str = "reading_timestamp", order: tuple[str, str] = ("kafka_partition", "kafka_offset"), now: datetime | Column | None = None, skew_hours: int = 1, stretch: int = 1_000_000
+) -> DataFrame:
     """``df`` with is_late: over ``hours`` behind the greatest event time that arrived before in its partition.
 
     Rows beyond the clock skew do not move the watermark, so one bad clock
-    cannot make all that follows late.
+    cannot make all that follows late. A partition is cut into stretches of
+    offsets: their greatest times are small enough to run over, and each stretch
+    is ordered by itself, so no task holds a partition's history.
     """
+    log, offset = order
     sane = F.when(F.col(by) <= clock(now) + F.make_interval(hours=F.lit(skew_hours)), F.col(by))
-    first, *then = order
-    rows = f"over (partition by {first} order by {', '.join(then)} rows between unbounded preceding and 1 preceding)"
-    return df.withColumn("_sane", sane).withColumn("_seen", F.expr(f"max(_sane) {rows}")).withColumn(
-        "is_late", F.coalesce(F.col(by) < F.col("_seen") - F.make_interval(hours=F.lit(hours)), F.lit(False))
-    ).drop("_sane", "_seen")
+    rows = df.withColumn("_sane", sane).withColumn("_stretch", F.expr(f"{offset} div {stretch}"))
+    upto = rows.groupBy(log, "_stretch").agg(F.max("_sane").alias("_top"))
+    upto = upto.withColumn("_before", F.expr(f"max(_top) over (partition by {log} order by _stretch rows between unbounded preceding and 1 preceding)"))
+    upto = upto.select(F.col(log).alias("_log"), F.col("_stretch").alias("_at"), "_before")
+    inside = F.expr(f"max(_sane) over (partition by {log}, _stretch order by {offset} rows between unbounded preceding and 1 preceding)")
+    seen = rows.withColumn("_inside", inside).join(upto, F.col(log).eqNullSafe(F.col("_log")) & F.col("_stretch").eqNullSafe(F.col("_at")))
+    late = F.col(by) < F.greatest("_inside", "_before") - F.make_interval(hours=F.lit(hours))
+    return seen.withColumn("is_late", F.coalesce(late, F.lit(False))).select(*df.columns, "is_late")

@@ -199,3 +199,30 @@ def test_sums_do_not_depend_on_order(spark, judged):
     one, other = marts.consumption(silver, "month"), marts.consumption(silver.repartition(7, "kafka_offset"), "month")
     assert rows_of(one) == rows_of(other)
     assert as_log(fixtures.bronze(spark, SF)).columns == LOG.fieldNames()
+
+
+def test_nearest_vectors_in_blocks(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 8)), 2)
+    x[7], x[9] = x[3], 2 * x[3]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, [0.0] * 8), (901, None)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    from aquilith.operators.governance import top_similar
+
+    queries = vectors.filter("vec_id % 3 = 0")
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    cosine = np.round(unit @ unit.T, 12)
+    expected = {(q, i, r + 1) for q in range(0, 300, 3) for r, i in enumerate(sorted((i for i in range(300) if i != q), key=lambda i: (-cosine[q, i], i))[:4])}
+    for size in (64_000_000, 2000):
+        assert {(r.query_id, r.vec_id, r["rank"]) for r in top_similar(vectors, queries, 4, block_bytes=size).collect()} == expected
+    assert top_similar(vectors.limit(0), queries.limit(0), 4).count() == 0
+
+
+def test_lateness_does_not_depend_on_stretches(spark):
+    from aquilith.operators.route import with_lateness
+
+    rows = fixtures.bronze(spark, SF)
+    told = [rows_of(with_lateness(rows, 24, now=fixtures.NOW, stretch=s).select("kafka_partition", "kafka_offset", "is_late")) for s in (7, 1_000_000, 1 << 40)]
+    assert told[0] == told[1] == told[2] and len(told[0]) == rows.count()

@@ -38,6 +38,47 @@ def test_decoder_never_raises(data):
     decode(data)
 
 
+def _values(arrow, i):
+    row = arrow[i].as_py()
+    return tuple(row[n] for n, _ in FIELDS) if row["ok"] else None
+
+
+_GOOD = encode(RECORD)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.binary(max_size=70), st.tuples(st.integers(0, len(_GOOD)), st.integers(0, 255)).map(lambda x: _GOOD[: x[0]] + bytes([x[1]]) + _GOOD[x[0] + 1 :]), st.just(_GOOD)), max_size=6))
+def test_batches_decode_as_records_do(payloads):
+    import math
+
+    import pyarrow as pa
+
+    from aquilith.functions.avro import _decode
+
+    got = _decode(pa.array(payloads, pa.binary()))
+    same = lambda a, b: a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
+    for i, p in enumerate(payloads):
+        a, b = _values(got, i), decode(p)
+        assert (a is None) == (b is None) and (a is None or all(map(same, a, b))), (p, a, b)
+
+
+_TEXTS = st.one_of(st.none(), st.text(max_size=5))
+_LONGS = st.integers(-(1 << 62), (1 << 62) - 1)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(_TEXTS, st.sampled_from(["LITERS", "PINTS", None]), _LONGS, st.one_of(st.none(), st.floats(allow_nan=False)), st.one_of(st.none(), st.integers(-(1 << 31), (1 << 31) - 1)), st.one_of(st.none(), st.datetimes(datetime(1900, 1, 1), datetime(2200, 1, 1)))), max_size=5))
+def test_batches_encode_as_records_do(rows):
+    import pyarrow as pa
+
+    from aquilith.functions.avro import _encode
+
+    records = [dict(meter_id=t, reading_timestamp=at, ingest_timestamp=at, reading_value=f, unit=u, flow_rate=f, battery_pct=i, signal_quality=i, dma_id="ä", firmware_version="", sequence_no=n) for t, u, n, f, i, at in rows]
+    kinds = {"string": pa.string(), "millis": pa.timestamp("us", tz="UTC"), "double": pa.float64(), "enum": pa.string(), "int": pa.int32(), "long": pa.int64()}
+    got = _encode(*[pa.array([r[n] for r in records], kinds[k.rstrip("?")]) for n, k in FIELDS])
+    assert got.to_pylist() == list(map(encode, records))
+
+
 def test_bronze_keeps_what_it_cannot_read(spark):
     at = datetime(2024, 1, 3, tzinfo=UTC)
     log = spark.createDataFrame([(b"k", encode(RECORD), 1, 5, at), (b"k", b"junk", 2, 6, at), (None, None, 2, 7, at)], LOG)
