@@ -126,8 +126,12 @@ def pack_docs(
     every segment and with the rest; cu_seqlens are the segments' bounds, from 0
     to n_tokens; doc_ids and starts say which document's tokens, from which
     token on, a segment holds. A null or empty text has no tokens and is in no
-    row. Repeated rows are packed as often as they occur. Other columns are
-    ignored.
+    row. Repeated rows are packed as often as they occur; texts are packed whole,
+    however long; segments of equal length that tie go where the last one went, in
+    the order read. Which segments share a row follows from the order in which a
+    task reads them, ``window`` tokens at a time: for rows that agree between runs
+    on other splits, range the table by id first. Other columns are ignored,
+    whatever their names; an empty table gives an empty one.
     """
     if not 1 <= length < 1 << 16:
         raise ValueError("length must fit 16 bits")

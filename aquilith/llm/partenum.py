@@ -130,7 +130,9 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Of rows repeated with id and text one stays; an id repeated with several
     texts stays with all of them if it heads a component. Rows with a null id
-    and texts without words stay.
+    and texts that are null, empty or without words stay. Whole texts are compared,
+    however long; all columns come back, whatever their names; an empty table
+    gives an empty one.
     """
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, **how)
     found = found.filter(F.col(id_col).isNotNull())

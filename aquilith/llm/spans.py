@@ -138,8 +138,12 @@ def dedup_spans(
 
     The first occurrence of a run, by id (nulls last), then row key, then
     position, stays. Equal rows (id and text) are one document and get equal
-    results; equal texts under other ids are copies, emptied but for the first.
-    A null text stays null, an empty one empty. Other columns are ignored.
+    results; equal texts under other ids are copies, emptied but for the first,
+    unless they are too short to hold a run (under ``span`` sentences and
+    ``span_words`` words, or under ``min_words`` words): such texts stay. Ties of
+    id are decided by row key. A null text stays null, an empty one empty. Texts
+    are read whole, however long. Other columns are ignored, whatever their
+    names; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), row_key(id_col, text_col).alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"))

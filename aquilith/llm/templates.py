@@ -149,7 +149,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Lines are what ``\\n`` separates; a text that loses all of them is empty. A
     null text stays null with 0 lines. Lines of under ``min_tokens`` tokens
-    never drop. Equal rows get equal results. Other columns are ignored.
+    never drop. Equal rows get equal results; ties of the least id go by row key.
+    Texts are read whole, however long. Other columns are ignored, whatever their
+    names; an empty table gives an empty one.
     """
     dropped = recurring_lines(docs, id_col=id_col, text_col=text_col, **how)
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), row_key(id_col, text_col).alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"))
