@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import suppress
 
 import numpy as np
@@ -71,6 +73,29 @@ def slices_of(batch: pa.RecordBatch, column: int, size: int):
             yield batch.slice(start, stop - start)
 
 
+#: What operators keep in a worker between tasks, and how it is dropped.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, drop: Callable[[], None]) -> None:
+    """Says that an operator keeps something in workers, which others may drop."""
+    _KEPT[name] = drop
+
+
+def settle(name: str = "") -> None:
+    """At a task's start: drops what other operators kept in this worker, and gives freed memory back.
+
+    Workers outlive tasks and stages, so without this one stage's caches count
+    against the next one's memory.
+    """
+    for other, drop in _KEPT.items():
+        if other != name:
+            drop()
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values
+from .common import binary_values, keeps, settle
 
 FOLDER = "/opt/tokenizers"
 SYMBOLS = [b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">"]
@@ -104,6 +104,9 @@ def vocabularies(folder: str) -> Vocabularies:
     return Vocabularies(folder)
 
 
+keeps("fertility", vocabularies.cache_clear)
+
+
 def repeat_words(words: list[bytes]) -> int:
     """Words in 3-word windows that the text holds twice or more."""
     n = len(words)
@@ -162,6 +165,7 @@ _SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 def _rows(folder: str):
     def run(batches):
+        settle("fertility")
         v = vocabularies(folder)
         for b in batches:
             rows = [measure(t or b"", v) for t in binary_values(b.column(1))]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, binary_values
+from .common import batches_of, binary_values, settle
 
 UNDETERMINED = "und"
 #: Characters of a text that are scored together.
@@ -171,6 +171,7 @@ def train(
     few = few.withColumn("r", F.expr("row_number() over (partition by lang order by h)")).filter(F.col("r") <= per_language)
 
     def run(batches):
+        settle()
         for b in batches:
             drawn = []
             for text, h in zip(binary_values(b.column(2)), b.column(1).to_pylist(), strict=True):
@@ -204,6 +205,7 @@ def _judge(model: Model | None, texts: list[bytes | None]) -> tuple[list[str], n
 
 def _predict(model: Model | None):
     def run(batches):
+        settle()
         for b in batches:
             langs, scores, _ = _judge(model, binary_values(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(langs), pa.array(scores)], ["id", "held_out", "lang_pred", "score"])
@@ -248,6 +250,7 @@ def keep_identified(docs: DataFrame, model: Model | None, *, text_col: str = "te
     allowed = set(languages) if languages is not None else None
 
     def run(batches):
+        settle()
         for b in batches:
             langs, _, margins = _judge(sent.value, binary_values(b.column(b.schema.get_field_index(text_col))))
             ok = [x != UNDETERMINED and m >= margin and (allowed is None or x in allowed) for x, m in zip(langs, margins.tolist(), strict=True)]

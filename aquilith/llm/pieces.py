@@ -30,14 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values, mix64
+from .common import binary_values, keeps, mix64, settle
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = re.compile(r" *[^ \n]+|\n| +")
 #: Chunks above this length go through a heap, one at a time, instead of rounds.
 LONG = 48
 #: Segmentations held at once by one worker.
-CACHE = 500_000
+CACHE = 200_000
 _WORST = np.iinfo(np.int32).max
 
 
@@ -363,8 +363,17 @@ def encoder(path: str, seed: int, dropout: float) -> Encoder:
     return Encoder(path, seed=seed, dropout=dropout)
 
 
+def _drop() -> None:
+    encoder.cache_clear()
+    load.cache_clear()
+
+
+keeps("pieces", _drop)
+
+
 def _rows(path: str, seed: int, dropout: float, runs: bool):
     def run(batches):
+        settle("pieces")
         e = encoder(path, seed, dropout)
         last, number = None, 0
         for b in batches:

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, batches_of, binary_values, connected, mix64, partitions
+from .common import Workspace, batches_of, binary_values, connected, mix64, partitions, settle
 
 #: Longs of a set's parity sketch.
 WORDS = 8
 #: Signatures of one shipment, about, and members of one row of groups.
-SHIPPED, PART = 2_000_000, 100_000
+SHIPPED, PART = 800_000, 100_000
 #: Signatures that a bucket is to hold; its task keeps them in memory at once.
 BUCKET = 2_000_000
 #: Marks an owner whose signature is hot in its shipment; a shipment has fewer sets.
@@ -114,6 +114,7 @@ def _keys(family: Family, id_type):
     """(id, n_items, key) of every text; for a counted family, rows of counts by slice of cells come behind."""
 
     def run(batches):
+        settle()
         counts, kind = np.zeros(CELLS if family.counted else 0, np.int64), None
         names = ["id", *(x.split()[0] for x in _KEYED.split(", "))]
         for b in batches:
@@ -246,6 +247,7 @@ def _signed(family: Family, buckets: int, hot: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in _SHIPPED.split(", ")])
 
     def run(batches):
+        settle()
         out = _Shipment(buckets, hot)
         for b in batches:
             for text in binary_values(b.column(0)):
@@ -317,6 +319,7 @@ def _met(batches):
         lists = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], lists) for i in range(1, 6))], [x.split()[0] for x in _GROUPS.split(", ")])
 
+    settle()
     now, held = None, []
     for b in batches:
         for bucket, hot, sigs, owners, keys in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
@@ -347,6 +350,7 @@ def _open(tried: int):
     """(part, keys, ends): the groups in which sets are neither all connected nor all compared."""
 
     def run(batches):
+        settle()
         for b in batches:
             for part, keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 known, root = _sorted_info(info, "root")
@@ -377,6 +381,7 @@ def _stars(tried: int, width: int, threshold: int):
     """
 
     def run(batches):
+        settle()
         for b in batches:
             for keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 known, weight, root = _sorted_info(info, "weight", "root")
@@ -429,6 +434,7 @@ def _sets(family: Family):
     """Rows (key, items, s0, s1 ...) of the documents given: sets and their sketches."""
 
     def run(batches):
+        settle()
         for b in batches:
             texts = binary_values(b.column(0))
             for span in batches_of(texts, 4_000_000):

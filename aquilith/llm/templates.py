@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, batches_of, binary_values, row_key
+from .common import Workspace, batches_of, binary_values, row_key, settle
 
 _FIELD = re.compile(rb"[^ \t-\r]*[0-9][^ \t-\r]*")
 
@@ -61,6 +61,7 @@ def templates(line: bytes, lead: int, fields: int, min_tokens: int, long_tokens:
 
 def _lines(lead: int, fields: int, min_tokens: int, long_tokens: int | None):
     def run(batches):
+        settle()
         for b in batches:
             texts = binary_values(b.column(2))
             for span in batches_of(texts, 8_000_000):
@@ -92,6 +93,7 @@ def _without(text_at: int, names: list[str]):
     columns = len(names)
 
     def run(batches):
+        settle()
         for b in batches:
             texts = [_cut(t, d) for t, d in zip(binary_values(b.column(text_at)), b.column(columns).to_pylist(), strict=True)]
             arrays = [b.column(i) for i in range(columns)]
