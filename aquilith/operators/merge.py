@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from .route import KEY, ORDER, latest
 
 
+def newest(df: DataFrame, keys: tuple[str, ...] = KEY, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """The latest row of each key; rows with a null key never match and all stay."""
+    return latest(df.dropna(subset=list(keys)), keys, order).unionByName(df.filter(" or ".join(f"{k} is null" for k in keys)))
+
+
 def merge_latest(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEY, order: tuple[str, ...] = ORDER) -> DataFrame:
     """The target with the source's rows inserted, or updating where they are newer.
 
@@ -15,7 +20,7 @@ def merge_latest(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = K
     repeated changes nothing. Rows with a null key never match: such source rows
     are inserted.
     """
-    news = latest(source.dropna(subset=list(keys)), keys, order).unionByName(source.filter(" or ".join(f"{k} is null" for k in keys)))
+    news = newest(source, keys, order)
     both = target.withColumn("_old", F.lit(1)).unionByName(news.withColumn("_old", F.lit(0)))
     keyed = both.dropna(subset=list(keys))
     merged = latest(keyed, keys, (*order, "_old"))

@@ -59,7 +59,7 @@ def main(argv: list[str]) -> None:
         spark,
         config,
         bronze=Table(spark, f"{root}/bronze/meter_telemetry", BRONZE),
-        silver=Table(spark, f"{root}/silver/meter_readings", valid(empty).schema, parts=BY_READING),
+        silver=Table(spark, f"{root}/silver/meter_readings", valid(empty).schema, parts=BY_READING, merge_on_read=True),
         quarantined=Table(spark, f"{root}/quarantine/silver_meter_readings_quarantine", quarantine(empty).schema, parts=BY_POSITION),
         now=now,
         **dims,

@@ -226,3 +226,28 @@ def test_lateness_does_not_depend_on_stretches(spark):
     rows = fixtures.bronze(spark, SF)
     told = [rows_of(with_lateness(rows, 24, now=fixtures.NOW, stretch=s).select("kafka_partition", "kafka_offset", "is_late")) for s in (7, 1_000_000, 1 << 40)]
     assert told[0] == told[1] == told[2] and len(told[0]) == rows.count()
+
+
+def test_merging_on_read_writes_only_the_batch(spark, judged, tmp_path, monkeypatch):
+    good = valid(judged).persist()
+    table = Table(spark, f"file://{tmp_path}/t", good.schema, parts=BY_READING[:1], merge_on_read=True, compact_at=4)
+    plain = Table(spark, f"file://{tmp_path}/p", good.schema, parts=BY_READING[:1])
+    read = []
+    with monkeypatch.context() as m:
+        m.setattr(table, "_rows", lambda ds, schema: read.append(ds))
+        for n in (2, 0, 1):
+            table.upsert(good.filter(f"kafka_offset % 3 = {n}"), ("s", n))
+    assert not read and table.versions() == [1]  # the replay of lower batches is skipped
+    for n in (0, 1):
+        table.upsert(good.filter(f"kafka_offset % 3 = {n}"))
+    for n in (2, 0, 1):
+        plain.upsert(good.filter(f"kafka_offset % 3 = {n}"))
+    assert rows_of(table.read()) == rows_of(plain.read()) == rows_of(latest(good).select(plain.read().columns))
+    before = table.versions()[-1]
+    table.compact()
+    assert all(len(ds) == 1 for ds in table.manifest()["partitions"].values()) and table.changes(before).count() == 0
+    one = latest(good).limit(1).withColumn("kafka_offset", F.col("kafka_offset") + 10**9).withColumn("ingest_timestamp", F.expr("ingest_timestamp + interval 1 hour"))
+    table.upsert(one)
+    assert {r["_change"]: r["count"] for r in table.changes(before).groupBy("_change").count().collect()} == {"insert": 1, "delete": 1}
+    with pytest.raises(ValueError, match="by key"):
+        Table(spark, f"file://{tmp_path}/x", good.schema, merge_on_read=True)
