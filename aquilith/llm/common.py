@@ -96,6 +96,26 @@ def settle(name: str = "") -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def lean(name: str = ""):
+    """Settles the worker before and after a function over Arrow batches."""
+
+    def wrap(run):
+        def inner(batches):
+            settle(name)
+            yield from run(batches)
+            settle(name)
+
+        return inner
+
+    return wrap
+
+
+def small(batches, column: int, size: int = 4_000_000):
+    """The batches in slices whose texts hold about ``size`` bytes together, as a batch of long texts outgrows a worker."""
+    for b in batches:
+        yield from slices_of(b, column, size)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

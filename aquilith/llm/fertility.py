@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values, keeps, settle
+from .common import binary_values, keeps, lean, small
 
 FOLDER = "/opt/tokenizers"
 SYMBOLS = [b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">"]
@@ -164,10 +164,10 @@ _SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 
 def _rows(folder: str):
+    @lean("fertility")
     def run(batches):
-        settle("fertility")
         v = vocabularies(folder)
-        for b in batches:
+        for b in small(batches, 1, 8_000_000):
             rows = [measure(t or b"", v) for t in binary_values(b.column(1))]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 11
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()] + [pa.float64()] * 3

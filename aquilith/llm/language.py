@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, binary_values, settle
+from .common import batches_of, binary_values, lean, small
 
 UNDETERMINED = "und"
 #: Characters of a text that are scored together.
@@ -170,8 +170,8 @@ def train(
     few = able.join(limits, "lang").filter("h <= most").groupBy("lang", "h").agg(F.min(F.struct("id", "text"))["text"].alias("text"))
     few = few.withColumn("r", F.expr("row_number() over (partition by lang order by h)")).filter(F.col("r") <= per_language)
 
+    @lean()
     def run(batches):
-        settle()
         for b in batches:
             drawn = []
             for text, h in zip(binary_values(b.column(2)), b.column(1).to_pylist(), strict=True):
@@ -204,9 +204,9 @@ def _judge(model: Model | None, texts: list[bytes | None]) -> tuple[list[str], n
 
 
 def _predict(model: Model | None):
+    @lean()
     def run(batches):
-        settle()
-        for b in batches:
+        for b in small(batches, 1):
             langs, scores, _ = _judge(model, binary_values(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(langs), pa.array(scores)], ["id", "held_out", "lang_pred", "score"])
 
@@ -247,12 +247,12 @@ def keep_identified(docs: DataFrame, model: Model | None, *, text_col: str = "te
     judged whole; repeated rows share their fate; no column is added or changed.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    allowed = set(languages) if languages is not None else None
+    allowed, at = set(languages) if languages is not None else None, docs.columns.index(text_col)
 
+    @lean()
     def run(batches):
-        settle()
-        for b in batches:
-            langs, _, margins = _judge(sent.value, binary_values(b.column(b.schema.get_field_index(text_col))))
+        for b in small(batches, at):
+            langs, _, margins = _judge(sent.value, binary_values(b.column(at)))
             ok = [x != UNDETERMINED and m >= margin and (allowed is None or x in allowed) for x, m in zip(langs, margins.tolist(), strict=True)]
             yield b.filter(pa.array(ok, pa.bool_()))
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values, keeps, mix64, settle
+from .common import binary_values, keeps, mix64, lean, small
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = re.compile(r" *[^ \n]+|\n| +")
@@ -372,11 +372,11 @@ keeps("pieces", _drop)
 
 
 def _rows(path: str, seed: int, dropout: float, runs: bool):
+    @lean("pieces")
     def run(batches):
-        settle("pieces")
         e = encoder(path, seed, dropout)
         last, number = None, 0
-        for b in batches:
+        for b in small(batches, 1):
             ids, texts = b.column(0).to_pylist(), [t.decode("utf-8", "replace") if t is not None else None for t in binary_values(b.column(1))]
             copies = b.column(2).to_pylist()
             if runs:

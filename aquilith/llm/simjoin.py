@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, batches_of, binary_values, connected, mix64, partitions, settle
+from .common import Workspace, batches_of, binary_values, connected, mix64, partitions, lean, small
 
 #: Longs of a set's parity sketch.
 WORDS = 8
@@ -113,11 +113,11 @@ _KEYED = "n_items long, key long, slice int, counts array<long>"
 def _keys(family: Family, id_type):
     """(id, n_items, key) of every text; for a counted family, rows of counts by slice of cells come behind."""
 
+    @lean()
     def run(batches):
-        settle()
         counts, kind = np.zeros(CELLS if family.counted else 0, np.int64), None
         names = ["id", *(x.split()[0] for x in _KEYED.split(", "))]
-        for b in batches:
+        for b in small(batches, 1):
             kind, sizes, keys = b.column(0).type, [], []
             for t in binary_values(b.column(1)):
                 s = family.set_of(t)
@@ -246,10 +246,10 @@ def _signed(family: Family, buckets: int, hot: int):
         kinds = [pa.int32(), pa.int8(), pa.binary(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in _SHIPPED.split(", ")])
 
+    @lean()
     def run(batches):
-        settle()
         out = _Shipment(buckets, hot)
-        for b in batches:
+        for b in small(batches, 0):
             for text in binary_values(b.column(0)):
                 s = family.set_of(text)
                 if not len(s) or (key := set_key(s)) in out.seen:
@@ -296,6 +296,7 @@ def groups_of(sig: np.ndarray, key: np.ndarray, flag: np.ndarray):
 _GROUPS = "part long, keys array<long>, ends array<long>, times array<long>, hot_sigs array<long>, hot_keys array<long>"
 
 
+@lean()
 def _met(batches):
     """Rows of ``_GROUPS`` of buckets, which come in order; long ones are cut between groups."""
 
@@ -319,7 +320,6 @@ def _met(batches):
         lists = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], lists) for i in range(1, 6))], [x.split()[0] for x in _GROUPS.split(", ")])
 
-    settle()
     now, held = None, []
     for b in batches:
         for bucket, hot, sigs, owners, keys in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
@@ -349,8 +349,8 @@ def _weights(batches):
 def _open(tried: int):
     """(part, keys, ends): the groups in which sets are neither all connected nor all compared."""
 
+    @lean()
     def run(batches):
-        settle()
         for b in batches:
             for part, keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 known, root = _sorted_info(info, "root")
@@ -380,8 +380,8 @@ def _stars(tried: int, width: int, threshold: int):
     rule out as links are not made.
     """
 
+    @lean()
     def run(batches):
-        settle()
         for b in batches:
             for keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 known, weight, root = _sorted_info(info, "weight", "root")
@@ -433,9 +433,9 @@ def _distinct(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _sets(family: Family):
     """Rows (key, items, s0, s1 ...) of the documents given: sets and their sketches."""
 
+    @lean()
     def run(batches):
-        settle()
-        for b in batches:
+        for b in small(batches, 0):
             texts = binary_values(b.column(0))
             for span in batches_of(texts, 4_000_000):
                 done, keys, items, bits, wides = set(), [], [], [], []

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, batches_of, binary_values, row_key, settle
+from .common import Workspace, batches_of, binary_values, row_key, lean, small
 
 _FIELD = re.compile(rb"[^ \t-\r]*[0-9][^ \t-\r]*")
 
@@ -60,9 +60,9 @@ def templates(line: bytes, lead: int, fields: int, min_tokens: int, long_tokens:
 
 
 def _lines(lead: int, fields: int, min_tokens: int, long_tokens: int | None):
+    @lean()
     def run(batches):
-        settle()
-        for b in batches:
+        for b in small(batches, 2, 8_000_000):
             texts = binary_values(b.column(2))
             for span in batches_of(texts, 8_000_000):
                 row, at, ids = [], [], []
@@ -92,9 +92,9 @@ def _without(text_at: int, names: list[str]):
     """The first columns under their ``names``, the text without the lines that the column behind them lists."""
     columns = len(names)
 
+    @lean()
     def run(batches):
-        settle()
-        for b in batches:
+        for b in small(batches, text_at):
             texts = [_cut(t, d) for t, d in zip(binary_values(b.column(text_at)), b.column(columns).to_pylist(), strict=True)]
             arrays = [b.column(i) for i in range(columns)]
             arrays[text_at] = pa.array(texts, pa.binary()).cast(pa.string())
