@@ -195,7 +195,7 @@ def test_synthetic(spark):
     leaks = synthetic.leaking(few, 0.2)
     assert leaks.count() == 4 and synthetic.leaking(few, 0.0).count() == 1
     night = lambda df: df.filter("hour(reading_timestamp) in (3, 4)").join(leaks, "meter_id").agg(F.avg("flow_rate")).first()[0]
-    assert night(synthetic.readings(few, start, end, leaks=leaks, leak_rate=1.0)) > 5 + night(synthetic.readings(few, start, end))
+    assert night(synthetic.readings(few, start, end, leaks=leaks, leak_rate=1.0)) > 5 / 15 + night(synthetic.readings(few, start, end))
     assert 0 < synthetic.readings(few, start, end).count() < 20 * 96 == synthetic.readings(few, start, end, dropout=0).count()
     with pytest.raises(ValueError, match="zone"):
         synthetic.readings(few, datetime(2024, 1, 1), end)
