@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, binary_values
+from .common import batches_of, binary_values, lean, small
 from .pieces import MODEL, encoder
 
 
@@ -80,10 +80,11 @@ def _packed(segments: list[tuple], length: int, pad: int, id_type: pa.DataType)
 def _rows(path: str, length: int, window: int, end: int, pad: int):
     mark = np.array([end], "<u2").tobytes()
 
+    @lean("pieces")
     def run(batches):
-        e = encoder(path, 0, 0.0, 1)
+        e = encoder(path, 0, 0.0)
         full, rest, held, kind = [], [], 0, pa.int64()
-        for b in batches:
+        for b in small(batches, 1):
             ids, texts, kind = b.column(0).to_pylist(), [(t or b"").decode("utf-8", "replace") for t in binary_values(b.column(1))], b.column(0).type
             for span in batches_of(texts, 1_000_000):
                 for i, tokens in zip(span, e.ids([texts[i] for i in span], [0] * len(span)), strict=True):
