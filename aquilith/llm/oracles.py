@@ -230,3 +230,41 @@ lines as materialized (
 select doc_id, case when rows_.text is not null then coalesce(kept.text, '') end as text, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped
 from rows_ left join kept using (rid)
 """
+
+#: Terms as the contract states them; RE2 reads code points.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL_SEARCH = f"""
+with texts as (
+    select row_number() over () as rid, doc_id,
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+), listed as (
+    select rid, doc_id, regexp_extract_all(text, '{_TERM}') as terms from texts where text is not null
+), sized as (
+    select rid, doc_id, terms, len(terms) as n from listed where len(terms) > 0
+), totals as (
+    select count(*) as docs, sum(n)::bigint as total from sized
+), words as (
+    select rid, unnest(terms) as term from sized
+), postings as (
+    select rid, term, count(*) as tf from words group by rid, term
+), frequencies as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from postings, totals group by term, docs
+), asked as (
+    select row_number() over () as iid, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) as term
+    from benchmark where text is not null
+), lengths as (
+    select rid, doc_id, 75 + (25 * n * docs) // total as m from sized, totals
+), scored as (
+    select iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+    from asked join postings using (term) join frequencies using (term) join lengths using (rid)
+    group by iid, item_id, rid, doc_id
+), ranked as (
+    select item_id, row_number() over (partition by iid order by score desc, doc_id nulls last, rid) as rank, doc_id, score
+    from scored where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
+"""

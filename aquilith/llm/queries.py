@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with production settings."""
+"""The operators as queries over whole tables, with production settings."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, fingerprints, language, mixing, oracles, packing, partenum, pieces, secrets, spans, templates
+from . import fertility, fingerprints, language, mixing, oracles, packing, partenum, pieces, retrieval, secrets, spans, templates
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_docs(_docs(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.search(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,11 +77,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_ownership,
         op9_language,
         op10_packing,
+        op11_lexical_search,
         pipeline,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_lexical_search": oracles.LEXICAL_SEARCH,
     "op2_sentence_spans": oracles.SENTENCE_SPANS,
     "op4_ngram_jaccard": oracles.NGRAM_JACCARD,
     "op6_mixing": oracles.MIXING,

@@ -25,9 +25,20 @@ ROWS = [
 ]
 
 
+TURNS = [
+    *[(c, t, "user" if t % 2 else None, None if t == 3 else f"turn {t}") for c in (*range(-25, 26), 40, 57) for t in range(abs(c) % 7)],
+    *[(c, t, "user", f"own {c} {t}") for c in (41, 61, 65, 99) for t in (None, 1, 1, 2)],
+    *[(70 + i, 0, "user", "one turn that many share") for i in range(9)],
+    (None, 0, "user", "no conversation"),
+    (200, 0, "user", "all taken"),
+]
+ITEMS = [(1, "two words"), (2, None), (None, "the node lost one text ünïcode"), (3, ""), (3, "Word WORD other")]
+
+
 def same(spark, folder, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'" if folder != SF else f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark", "conversations"):
+        con.execute(f"create view {table} as select * from '{folder}/{table}.parquet{'' if folder == SF else '/*.parquet'}'")
     expected = con.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, folder)
     assert got.columns == expected.columns
@@ -43,4 +54,6 @@ def test_equals_oracle(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_equals_oracle_on_awkward_rows(spark, documents, tmp_path, name):
     documents(ROWS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     same(spark, str(tmp_path), name)
