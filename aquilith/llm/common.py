@@ -212,3 +212,24 @@ def connected(edges: DataFrame, work: Workspace) -> DataFrame:
         if not new.filter("new != root").limit(1).count():
             work.drop(both)
             return labels
+
+
+#: Of a join's rows, a key that holds more than one in so many is hot, so there are fewer hot keys than this.
+HOT_SHARE = 1000
+
+
+def hot_keys(counts: DataFrame, key: str, rows: str) -> DataFrame:
+    """The keys that hold more than 1/HOT_SHARE of all rows; ``counts`` has each key's number of ``rows``."""
+    total = counts.agg(F.sum(rows)).first()[0] or 0
+    return counts.filter(F.col(rows) > total / HOT_SHARE).select(key)
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``many`` joined with ``one`` (unique in ``key``) without dealing a hot key's rows to one task.
+
+    Hot keys are under HOT_SHARE in number, so their rows of ``one`` are broadcast and
+    their rows of ``many`` stay where they are; all other keys are shuffled.
+    """
+    met = F.broadcast(hot)
+    hotly = many.join(F.broadcast(one.join(met, key, "left_semi")), key)
+    return hotly.unionByName(many.join(met, key, "left_anti").join(one.join(met, key, "left_anti"), key))

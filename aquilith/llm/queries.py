@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, fingerprints, language, mixing, oracles, packing, partenum, pieces, retrieval, secrets, spans, templates
+from . import fertility, fingerprints, language, mixing, oracles, packing, partenum, pieces, retrieval, secrets, spans, templates, tries
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.search(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,12 +82,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language,
         op10_packing,
         op11_lexical_search,
+        op12_prefix_trie,
         pipeline,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_lexical_search": oracles.LEXICAL_SEARCH,
+    "op12_prefix_trie": oracles.PREFIX_TRIE,
     "op2_sentence_spans": oracles.SENTENCE_SPANS,
     "op4_ngram_jaccard": oracles.NGRAM_JACCARD,
     "op6_mixing": oracles.MIXING,
