@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, fingerprints, language, mixing, oracles, packing, partenum, pieces, retrieval, secrets, spans, templates, tries
+from . import fertility, fingerprints, language, mixing, oracles, packing, pages, partenum, pieces, retrieval, secrets, spans, templates, tries
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_packing,
         op11_lexical_search,
         op12_prefix_trie,
+        op13_host_paths,
         pipeline,
     )
 }
