@@ -25,7 +25,7 @@ FOLDER = "/opt/tokenizers"
 SYMBOLS = [b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">"]
 SPACES = [b" ", b"\t", b"\n", b"\v", b"\f", b"\r"]
 #: Runs of Unicode white space (fixed values) that are too long for the vocabulary's pattern.
-_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{256,}")
 
 
 @dataclass(frozen=True)
@@ -78,14 +78,14 @@ class Vocabularies:
         self.fallback[[ord(p) for p in map(pieces.id_to_piece, range(pieces.get_piece_size())) if len(p) == 1]] = 0
         self.fallback[[0x20, *range(0x09, 0x0E)]] = 0  # no part of words
 
-
     def tokens(self, text: str) -> list[np.ndarray]:
         """The byte-level vocabulary's ids, in parts.
 
         Its pattern takes a run of white space but for the last character, which
         goes with the word behind it, as one unit; at the end of a text the whole
         run. It backtracks over each character, so a run of a million ends the
-        process: long runs are cut out at just these places, which gives the same ids.
+        process, and many of a few thousand cost the square of their length: long runs are
+        cut out at just these places, which gives the same ids.
         """
         out, start = [], 0
         for run in _RUN.finditer(text):

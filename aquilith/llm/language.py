@@ -14,12 +14,15 @@ blocks' mean: they depend on what a text holds, not on how long it is.
 
 Only a bounded sample of labelled rows is fitted: ``per_language`` different
 documents of each of at most ``most_languages`` languages, those with the least
-hash of id and text. Executors make their presence rows, so what reaches the
-driver is ``width`` bits for each, however long the texts.
+hash of id and text. They are learned whole: a text's features are the mean of its
+blocks', as its score is. Executors make them, so what reaches the driver for each
+is the presence bits of one block, from which landmarks are taken, and its kernels
+with the landmarks, however long the text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import islice
 
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, binary_values, lean, small
+from .common import Workspace, batches_of, binary_values, lean, small
 
 UNDETERMINED = "und"
 #: Characters of a text that are scored together.
@@ -81,6 +84,23 @@ def _lettered(text: str):
     return filter(has_letter, blocks_of(text)) if has_letter(text) else blocks_of(text)
 
 
+def kernels(texts: list[str], landmarks: np.ndarray, width: int, longest: int) -> np.ndarray:
+    """Kernels of texts with landmarks, which are columns of unit length."""
+    x, norm = presence(texts, width, longest)
+    return (x @ landmarks) / norm[:, None]
+
+
+def block_means(texts: list[str], rows_of: Callable[[list[str]], np.ndarray], n: int) -> np.ndarray:
+    """Each text's mean over its blocks of what ``rows_of`` says of them; blocks without a letter count only where there are no others."""
+    total, number = np.zeros((len(texts), n)), np.zeros(len(texts))
+    blocks = ((i, b) for i, t in enumerate(texts) for b in _lettered(t))
+    while part := list(islice(blocks, 256)):
+        at = [i for i, _ in part]
+        np.add.at(total, at, rows_of([b for _, b in part]))
+        np.add.at(number, at, 1)
+    return total / number[:, None]
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -90,19 +110,12 @@ class Model:
     longest: int
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        x, norm = presence(texts, self.width, self.longest)
-        k = (x @ self.landmarks) / norm[:, None]
+        k = kernels(texts, self.landmarks, self.width, self.longest)
         return np.hstack([k, np.ones((len(k), 1), np.float32)]) @ self.weights
 
     def whole_scores(self, texts: list[str]) -> np.ndarray:
         """The mean scores of each text's blocks; blocks without a letter count only where there are no others."""
-        total, number = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
-        blocks = ((i, b) for i, t in enumerate(texts) for b in _lettered(t))
-        while part := list(islice(blocks, 256)):
-            at = [i for i, _ in part]
-            np.add.at(total, at, self.scores([b for _, b in part]))
-            np.add.at(number, at, 1)
-        return total / number[:, None]
+        return block_means(texts, self.scores, len(self.languages))
 
 
 def fit(texts: list[str], labels: list[str], *, width: int, longest: int, landmarks: int, ridge: float) -> Model:
@@ -110,8 +123,12 @@ def fit(texts: list[str], labels: list[str], *, width: int, longest: int, landma
     return fit_rows([packed(t, width, longest) for t in texts], labels, width=width, longest=longest, landmarks=landmarks, ridge=ridge)
 
 
-def fit_rows(rows: list[bytes], labels: list[str], *, width: int, longest: int, landmarks: int, ridge: float) -> Model:
-    """Nyström features over evenly drawn landmarks, then one-versus-rest ridge regression."""
+def fit_rows(rows: list[bytes], labels: list[str], *, width: int, longest: int, landmarks: int, ridge: float, kernel_of: Callable[[np.ndarray], np.ndarray] | None = None) -> Model:
+    """Nyström features over evenly drawn landmarks, then one-versus-rest ridge regression.
+
+    ``kernel_of`` gives every row's kernel with the landmarks where a row stands for more
+    than its own presence bits, as one block does for a long text.
+    """
     languages = sorted(set(labels))
     own: dict[str, list[int]] = {}
     for i, y in enumerate(labels):
@@ -121,7 +138,7 @@ def fit_rows(rows: list[bytes], labels: list[str], *, width: int, longest: int,
     values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])  # whitens the landmarks' kernel
-    kernel = np.vstack([_unit_rows(rows[i : i + 512]) @ base.T for i in range(0, len(rows), 512)])
+    kernel = np.vstack([_unit_rows(rows[i : i + 512]) @ base.T for i in range(0, len(rows), 512)]) if kernel_of is None else kernel_of(base)
     phi = np.hstack([kernel @ root, np.ones((len(rows), 1))])
     y = np.where(np.array([languages.index(a) for a in labels])[:, None] == np.arange(len(languages)), 1.0, -1.0)
     penalty = ridge * np.eye(phi.shape[1])
@@ -152,9 +169,8 @@ def train(
     Held out are ids whose crc32, as text, leaves 1 modulo 3. Rows with a null
     id or label and texts that are null or without a letter are not learned from;
     rows repeated count once. At most ``per_language`` rows are taken of each of
-    the ``most_languages`` languages that have most rows (ties by name). Of a text
-    longer than ``BLOCK`` one block is learned, drawn by its hash, as texts are
-    scored in blocks. Other columns are ignored. A row is taken by a limit on its
+    the ``most_languages`` languages that have most rows (ties by name), whole texts
+    however long; a landmark is one block of a text, drawn by its hash. Other columns are ignored. A row is taken by a limit on its
     hash that follows from its language's number of rows, so no task ranks more
     than a few rows.
     """
@@ -169,6 +185,8 @@ def train(
     limits = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, most long"))
     few = able.join(limits, "lang").filter("h <= most").groupBy("lang", "h").agg(F.min(F.struct("id", "text"))["text"].alias("text"))
     few = few.withColumn("r", F.expr("row_number() over (partition by lang order by h)")).filter(F.col("r") <= per_language)
+    work = Workspace(docs.sparkSession, "language")
+    few = work.put(few.select("lang", "h", "text"))
 
     @lean()
     def run(batches):
@@ -179,11 +197,28 @@ def train(
                 drawn.append(packed(blocks[h % len(blocks)], width, longest) if blocks else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(drawn, pa.binary())], ["lang", "h", "bits"])
 
-    sample = few.select("lang", "h", "text").mapInArrow(run, "lang string, h long, bits binary").filter("bits is not null").collect()
+    sample = few.mapInArrow(run, "lang string, h long, bits binary").filter("bits is not null").collect()
     sample = sorted((r.h, r.lang, bytes(r.bits)) for r in sample)
     if not sample:
         return None
-    return fit_rows([s[2] for s in sample], [s[1] for s in sample], width=width, longest=longest, landmarks=landmarks, ridge=ridge)
+
+    def kernel_of(base: np.ndarray) -> np.ndarray:
+        columns = np.ascontiguousarray(base.T)
+
+        @lean()
+        def means(batches):
+            for b in small(batches, 2):
+                texts = [t.decode("utf-8", "replace") for t in binary_values(b.column(2))]
+                rows = block_means(texts, lambda part: kernels(part, columns, width, longest), columns.shape[1])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows.tolist(), pa.list_(pa.float64()))], ["lang", "h", "kernel"])
+
+        found = {(r.h, r.lang): r.kernel for r in few.mapInArrow(means, "lang string, h long, kernel array<double>").collect()}
+        return np.array([found[s[0], s[1]] for s in sample])
+
+    try:
+        return fit_rows([s[2] for s in sample], [s[1] for s in sample], width=width, longest=longest, landmarks=landmarks, ridge=ridge, kernel_of=kernel_of)
+    finally:
+        work.clear()
 
 
 def _judge(model: Model | None, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:

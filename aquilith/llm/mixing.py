@@ -200,7 +200,10 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", so
     """The mix itself: each row of ``docs``, all columns, as often as it is taken.
 
     ``copy_col`` names a column to add, which numbers the copies of a row from 1.
-    Nulls, repeats, long texts, clashing names and empty tables are as for ``mix``.
+    Nulls, repeats, long texts, clashing names and empty tables are as for ``mix``. Of
+    rows repeated with id, text and source, which of them are taken once more follows from
+    where they are read, so where these differ in other columns, those columns may
+    differ between reruns; ids, texts and sources do not.
     """
     work = Workspace(docs.sparkSession, "mixing")
     planned = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, cap=cap, seed=seed, work=work)

@@ -135,11 +135,12 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     gives an empty one.
     """
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, **how)
-    found = found.filter(F.col(id_col).isNotNull())
-    keep = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct()
-    kept = docs.join(keep, docs[id_col] == keep["_keep"], "left_semi")
-    twice = found.groupBy(F.col(id_col).alias("_twice")).count().filter("count > 1").select("_twice")
+    name = f"`{id_col}`"
+    found = found.select(F.col(name).alias("_found"), "component_id").filter("_found is not null")
+    keep = found.filter("_found = component_id").select(F.col("_found").alias("_keep")).distinct()
+    kept = docs.join(keep, docs[name] == keep["_keep"], "left_semi")
+    twice = found.groupBy(F.col("_found").alias("_twice")).count().filter("count > 1").select("_twice")
     if twice.limit(1).count():
-        again = kept.join(twice, kept[id_col] == twice["_twice"], "left_semi").dropDuplicates([id_col, text_col])
-        kept = kept.join(twice, kept[id_col] == twice["_twice"], "left_anti").unionByName(again)
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+        again = kept.join(twice, kept[name] == twice["_twice"], "left_semi").dropDuplicates([id_col, text_col])
+        kept = kept.join(twice, kept[name] == twice["_twice"], "left_anti").unionByName(again)
+    return kept.unionByName(docs.filter(F.col(name).isNull()))

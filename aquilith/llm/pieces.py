@@ -422,7 +422,12 @@ def encode_docs(
 
 
 def decode_docs(encoded: DataFrame, *, tokens_col: str = "tokens", text_col: str = "text", path: str = MODEL) -> DataFrame:
-    """All columns of ``encoded`` and the text of its token ids; null ids give a null text."""
+    """All columns of ``encoded`` and the text of its token ids.
+
+    Null ids give a null text, no ids an empty one; repeated rows come back repeated, an
+    empty table gives an empty one. A column that has the name ``text_col`` already is
+    replaced; give another name to keep it.
+    """
     from pyspark.sql.types import StringType, StructField, StructType
 
     schema = StructType([*(f for f in encoded.schema if f.name != text_col), StructField(text_col, StringType())])

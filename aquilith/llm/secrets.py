@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, row_key
+from .common import Workspace, hot_keys, row_key, spread_join
 
 
 def _either_case(word: str) -> str:
@@ -122,11 +122,11 @@ def scan(docs: DataFrame, *, id_col: str, text_col: str, repo_col: str, owner_co
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(digest, n_repos, n_owners) of every candidate value; a null repository or owner counts as one."""
+    """(digest, n_repos, n_owners, n_rows) of every candidate value; a null repository or owner counts as one."""
     held = found.select("digest", F.coalesce("repo", F.lit("")).alias("repo"), F.coalesce("owner", F.lit("")).alias("owner"))
-    repos = held.groupBy("digest", "repo").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("*").alias("n_repos"))
+    repos = held.groupBy("digest", "repo").agg(F.count("*").alias("rows")).groupBy("digest").agg(F.count("*").alias("n_repos"), F.sum("rows").alias("n_rows"))
     owners = held.groupBy("digest", "owner").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("*").alias("n_owners"))
-    return repos.join(owners, "digest")
+    return repos.join(owners, "digest").select("digest", "n_repos", "n_owners", "n_rows")
 
 
 def find_secrets(
@@ -154,7 +154,9 @@ def find_secrets(
     rows = work.put(scan(docs, id_col=id_col, text_col=text_col, repo_col=repo_col, owner_col=owner_col))
     each = rows.filter(F.size("base") > 0).select("id", "key", "repo", "owner", F.explode("base").alias("s"))
     each = each.select("id", "key", "repo", "owner", "s.start", "s.kind", "s.end", "s.value").withColumn("digest", F.sha2("value", 256))
-    judged = each.join(ownership(each), "digest")
+    held = work.put(ownership(each))
+    # a value that very many rows hold stays where its rows are
+    judged = spread_join(each, held.drop("n_rows"), "digest", hot_keys(held, "digest", "n_rows"))
     common = (F.col("n_owners") >= many_owners) | (F.col("n_repos") >= many_repos)
     live = ~common & looks_live(F.col("value"))
     added = F.struct((F.col("end") - F.length("value")).alias("start"), F.lit(3).alias("kind"), F.col("end").alias("end"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, batches_of, binary_values, row_key, lean, small
+from .common import HOT_SHARE, Workspace, batches_of, binary_values, row_key, lean, small, spread_join
 
 _FIELD = re.compile(rb"[^ \t-\r]*[0-9][^ \t-\r]*")
 
@@ -129,16 +129,16 @@ def recurring_lines(
     need = F.lit(min_docs) if long_tokens is None else F.when(F.col("template").bitwiseAND(1) == 1, long_docs).otherwise(min_docs)
     # by (template, content) first: a hot template is spread over its texts
     first = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "key"))
-    recurring = (
+    hot = F.col("rows") > lines.count() / HOT_SHARE
+    counted = (
         lines.groupBy("template", "content")
-        .agg(first.alias("first"))
+        .agg(first.alias("first"), F.count("*").alias("rows"))
         .groupBy("template")
-        .agg(F.count("*").alias("texts"), F.min("first").alias("first"))
-        .filter(F.col("texts") >= need)
+        .agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.sum("rows").alias("rows"))
+        .select("template", "first", (F.col("texts") >= need).alias("recurs"), hot.alias("hot"))
     )
-    # written, so that the join deals both sides itself and may split a hot template
-    recurring = work.put(recurring.select("template", "first"))
-    hit = lines.select("template", "id", "key", "line").join(recurring, "template")
+    counted = work.put(counted.filter("recurs or hot"))
+    hit = spread_join(lines.select("template", "id", "key", "line"), counted.filter("recurs").select("template", "first"), "template", counted.filter("hot").select("template"))
     if keep_first:
         hit = hit.filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))))
     out = work.put(hit.groupBy("id", "key").agg(F.collect_set("line").alias("dropped")).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("dropped").alias("_dropped")))

@@ -100,3 +100,47 @@ def test_ten_megabytes_give_a_row(unit):
 def test_a_dirty_document_does_not_stop_the_others(documents):
     docs = documents([(1, "\n" * 1_500_000), (2, " \t" * 900_000 + "x"), (3, "plain words " * 40)])
     assert {(r.doc_id, r.n_words) for r in quality(docs).collect()} == {(1, 0), (2, 1), (3, 80)}
+
+
+def test_verdict_equals_brute_force(spark):
+    """Every column of the whole query, measured with the vocabularies' own libraries and the bands as stated."""
+    import sentencepiece
+
+    from aquilith.llm.fertility import BANDS
+    from aquilith.llm.queries import QUERIES
+
+    v = vocabularies(FOLDER)
+    sp = sentencepiece.SentencePieceProcessor(model_file=f"{FOLDER}/piece_bpe_32k.model")
+    folder, kept = "/root/testdata/sf0.01", Counter()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    for r in QUERIES["op1_tokeniser_fertility"](spark, folder).collect():
+        text = texts[r.doc_id] or ""
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base(text)
+        words = words_of(text)
+        ids = v.bytes.encode_ordinary(text)
+        n = len(ids) or 1
+        entropy = -sum(c / n * np.log2(c / n) for c in Counter(ids).values())
+        fertility = sum(map(len, words)) / n
+        missed = sum(len(c.encode()) for w in words for c in w if sp.piece_to_id(c) == sp.unk_id())
+        fallback = missed / max(1, sum(len(w.encode()) for w in words))
+        band = BANDS[r.script]
+        fits = band.chars_per_token[0] <= fertility <= band.chars_per_token[1] and fallback <= band.most_fallback and entropy >= band.least_entropy
+        assert r.kept == (bool(words) and fits and not r.base_failed)
+        assert (r.chars_per_token, r.fallback_share, r.token_entropy) == pytest.approx((fertility, fallback, entropy) if words else (0, 0, 0), abs=1e-9)
+        kept[r.kept] += 1
+    assert kept[True] > 500 and kept[False] > 50
+
+
+
+
+def test_many_white_space_runs_take_time_in_proportion():
+    import time
+
+    v, runs = vocabularies(FOLDER), lambda n: ("w" + "\n" * n) * (800_000 // n)
+    v.tokens("warm up")
+    took = []
+    for n in (100, 4000):
+        began = time.process_time()
+        v.tokens(runs(n))
+        took.append(time.process_time() - began)
+    assert took[1] < 5 * took[0] + 0.5

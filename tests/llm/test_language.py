@@ -116,3 +116,51 @@ def test_sample_is_of_the_stated_size(documents, monkeypatch):
     count = {x: seen["labels"].count(x) for x in set(seen["labels"])}
     assert 120 <= count["en"] <= 150 and count["de"] <= 1 and 30 <= count["fr"] <= 60
     assert {len(r) for r in seen["rows"]} == {2048}
+
+
+def test_long_texts_are_learned_whole(documents):
+    """Only the second half of every French text is French; one block alone would teach English for half of them."""
+    import random
+
+    rng = random.Random(4)
+    words = {"en": "the and of to in is that was for on".split(), "fr": "le la les des est que une dans pour sur".split()}
+    many = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    rows = [(i, many("en", 3000), "en") for i in range(0, 90, 2)] + [(i, many("en", 1500) + " " + many("fr", 1500), "fr") for i in range(1, 90, 2)]
+    m = train(documents(rows))
+    got = {r.doc_id: r.lang_pred for r in identify(documents([(1000, many("fr", 50)), (1001, many("en", 50)), (1002, rows[-1][1])]), m).collect()}
+    assert got == {1000: "fr", 1001: "en", 1002: "fr"}
+
+
+def test_training_equals_fitting_whole_texts(documents):
+    """Kernels made by tasks, block by block, against the same means made here."""
+    from aquilith.llm import language
+
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(["abra", "xyz", "kola", "mnop"][i % 2 :: 2], 1200 + 900 * (i % 3))), "pq"[i % 2]) for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    m = train(documents(rows), landmarks=4)
+    text = rows[0][1]
+    blocks = list(language.blocks_of(text))
+    by_hand = np.mean([language.kernels([b], m.landmarks, m.width, m.longest)[0] for b in blocks], axis=0)
+    assert len(blocks) > 1 and np.allclose(language.block_means([text], lambda t: language.kernels(t, m.landmarks, m.width, m.longest), 4)[0], by_hand)
+    k = language.block_means([r[1] for r in rows], lambda t: language.kernels(t, m.landmarks, m.width, m.longest), 4)
+    y = np.array([1.0 if r[2] == "p" else -1.0 for r in rows])
+    # the normal equations hold at the fitted weights: residuals are orthogonal to the intercept
+    phi = np.hstack([k, np.ones((len(k), 1))])
+    assert abs((phi @ m.weights[:, 0] - y).mean()) < 1e-3
+
+
+def test_whole_query_equals_scoring_every_text(spark, real):
+    """The query's rows against the model's scores of every text, one text at a time."""
+    from aquilith.llm.language import has_letter
+    from aquilith.llm.queries import QUERIES
+
+    m = train(real)
+    texts = {r.doc_id: r.text for r in real.collect()}
+    for r in QUERIES["op9_language"](spark, SF).collect():
+        text = texts[r.doc_id]
+        if not text or not has_letter(text):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        s = m.whole_scores([text])[0]
+        assert r.lang_pred == m.languages[int(s.argmax())] and r.score == pytest.approx(min(max((s.max() + 1) / 2, 0), 1), abs=1e-4)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)

@@ -154,3 +154,9 @@ def test_repeated_rows_are_taken_one_by_one(documents, parts):
     assert abs(sum(r.taken for r in got if r.doc_id == 7) - target) <= 5
     assert {r.taken for r in got if r.doc_id == 7} == {0, 10}
     assert mixed(docs, weights=(2, 3)).filter("doc_id = 7").count() * 10 == sum(r.taken for r in got if r.doc_id == 7)
+
+
+def test_long_texts(documents):
+    rows = [(i, "word " * (100_000 if i == 3 else 50), "en", "ab"[i % 2]) for i in range(30)]
+    got = {r.doc_id: r for r in mix(documents(rows)).collect()}
+    assert got[3]["size"] == 100_000 and all(0 <= r.taken <= 3 * r["size"] for r in got.values())

@@ -67,3 +67,29 @@ def test_nulls_repeats_long_texts_and_empty_tables(documents):
     assert {None, 3, 4} == set(held) and held.count(3) == 2 and 1 not in held
     assert sum(r.n_tokens for r in rows if set(r.doc_ids) == {4}) > 90_000
     assert pack_docs(docs.limit(0)).count() == 0
+
+
+def test_whole_query_equals_brute_force(spark):
+    """Every row of the query from the library's own token ids, and the packing of each window against a plain search."""
+    from aquilith.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    expected = {r.doc_id: [*sp.encode(r.text), 2] for r in spark.read.parquet(f"{folder}/documents.parquet").collect() if r.text and sp.encode(r.text)}
+    found, segments = {}, []
+    for r in QUERIES["op10_packing"](spark, folder).collect():
+        ids, places = (np.frombuffer(x, "<u2").tolist() for x in (r.input_ids, r.position_ids))
+        assert len(ids) == len(places) == 2048 and ids[r.n_tokens :] == [0] * (2048 - r.n_tokens)
+        for a, b, doc, start in zip(r.cu_seqlens[:-1], r.cu_seqlens[1:], r.doc_ids, r.starts, strict=True):
+            found.setdefault(doc, {})[start] = ids[a:b]
+            assert places[a:b] == list(range(b - a))
+            segments.append(b - a)
+    assert {d: [t for s in sorted(x) for t in x[s]] for d, x in found.items()} == expected
+    rooms = []  # best fit decreasing, by looking at every row
+    for n in sorted(segments, reverse=True):
+        fits = [i for i, room in enumerate(rooms) if room >= n]
+        if fits:
+            rooms[min(fits, key=lambda i: rooms[i])] -= n
+        else:
+            rooms.append(2048 - n)
+    assert len(rooms) == QUERIES["op10_packing"](spark, folder).count()

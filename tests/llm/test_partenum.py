@@ -150,3 +150,8 @@ def test_intermediate_tables_go(spark, documents, tmp_path):
     out = jaccard_components(documents(corpus(3, 10, 5)))
     (new,) = set(os.listdir(root)) - before
     assert len(os.listdir(f"{root}/{new}")) == 1 and out.count() > 0
+
+
+def test_an_id_column_with_a_dot(documents):
+    docs = documents([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words are here and there")]).withColumnRenamed("doc_id", "doc.id")
+    assert sorted(r["doc.id"] for r in one_of_each(docs, id_col="doc.id").collect()) == [1, 3]

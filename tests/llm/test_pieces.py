@@ -139,3 +139,11 @@ def test_runs_of_equal_rows_are_cut_differently(spark, documents):
     tokens = [tuple(r.tokens) for r in got]
     assert len(set(tokens[:3])) == 3 and tokens[4] == tokens[0] and all(r.lossless for r in got)
     assert [tuple(r.tokens) for r in encode_docs(docs, number_runs=True).collect()] == tokens
+
+
+def test_decoding_replaces_a_column_of_that_name(spark):
+    docs = spark.createDataFrame([(1, "ab c"), (2, None), (3, "")], "doc_id long, text string")
+    encoded = encode_docs(docs).withColumn("text", F.lit("own"))
+    assert {r.doc_id: r.text for r in decode_docs(encoded).collect()} == {1: "ab c", 2: "", 3: ""}
+    both = decode_docs(encoded, text_col="decoded")
+    assert {(r.text, r.decoded) for r in both.collect()} == {("own", "ab c"), ("own", "")}

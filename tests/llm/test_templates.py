@@ -112,3 +112,11 @@ def test_clashing_names_survive(documents):
     got = drop_lines(docs)
     assert got.columns == docs.columns and sum(line in r.text for r in got.collect()) == 1
     assert [tuple(r) for r in got.select(*names).distinct().collect()] == [tuple(f"own {k}" for k in range(len(names)))]
+
+
+def test_a_hot_template_and_a_hot_text(documents):
+    """A third of all rows share one line, another third are copies of one text."""
+    rows = [(i, f"the line that a third share\nown {'x' * (i % 60)} {'y' * (i // 60)} words stand") for i in range(700)]
+    rows += [(1000 + i, "a text that is copied\nwith these two lines") for i in range(700)] + [(2000 + i, f"row {'p' * (i % 60)} {'q' * (i // 60)} alone") for i in range(700)]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in dedup_lines(documents(rows).repartition(5)).collect()}
+    assert got == {i: v for i, v in brute(rows, 5).items()}
