@@ -11,6 +11,7 @@ batch replayed after a failure is skipped.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime
 
@@ -39,15 +40,35 @@ def bronze_stream(log: DataFrame, table: Table, checkpoint: str, *, config: Conf
 def commits(table: Table, max_commits: int = 1) -> DataFrame:
     """A table's log as a stream of (version), ``max_commits`` a micro-batch.
 
-    The file source records which commits a checkpoint has seen; rows are read
-    in ``silver_stream`` by the commits' directories.
+    The stream only tells that there are commits up to a version: it lists names, so a
+    commit counts whatever its file held when it was listed, and the batch reads all
+    versions since its last one by number (``unread``).
     """
-    log = table.spark.readStream.schema("version long").option("maxFilesPerTrigger", max_commits).json(f"{table.path}/log")
-    return log.select(F.regexp_extract("_metadata.file_name", r"^(\d+)", 1).cast("long").alias("version"))
+    log = table.spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", max_commits).load(f"{table.path}/log")
+    return log.select(F.regexp_extract("path", r"(\d+)\.json$", 1).cast("long").alias("version"))
+
+
+def unread(table: Table, done: int | None, newest: int) -> tuple[DataFrame, int]:
+    """The rows that versions behind ``done`` up to ``newest`` appended, and the version that is read then.
+
+    A reader that has read nothing and finds the first commits collected takes the whole table as
+    it is; one that has read before fails if a commit that it needs is gone.
+    """
+    held = table._numbers("log")
+    wanted = range((done or 0) + 1, newest + 1)
+    gone = sorted(set(wanted) - set(held))
+    if not gone:
+        return table.added(list(wanted)), newest
+    if done is not None:
+        raise RuntimeError(f"the table no longer keeps version {gone[0]}, which its reader has not read")
+    state = table.manifest()
+    return table.read(state["version"]), state["version"]
 
 
 #: Where Silver's commits keep the greatest event time seen, in microseconds.
 MARK = "silver.watermark"
+#: Where they keep the last version of Bronze that they hold.
+DONE = "bronze.version"
 
 
 def lateness(rows: DataFrame, before: int | None, config: Config, now: datetime | Column | None) -> DataFrame:
@@ -76,21 +97,33 @@ def silver_stream(
 ) -> StreamingQuery:
     """``dims`` gives the meter and area dimensions; it is asked anew for every batch.
 
-    The rows of ``max_commits`` versions of Bronze are a batch. A commit that
-    Bronze no longer keeps stops the stream: nothing is skipped unseen. Every
-    batch moves the watermark that Silver's commits carry; ``report`` gets the
+    A batch takes Bronze's versions by number, from the last one that Silver holds to the
+    newest that the stream has listed, so none is skipped. Silver registers with Bronze,
+    which keeps what it has not read, however long it is down; a gap stops the stream. Quarantine
+    is written before Silver, whose commit says that the batch is done. Every batch moves the watermark that Silver's commits carry; ``report`` gets the
     batch's number, its rows later than the watermark, and the watermark.
     """
 
+    # one name for each table that follows Bronze
+    reader = hashlib.md5(silver.path.encode()).hexdigest()
+    bronze.register(reader, silver.manifest()["batches"].get(DONE, 0))
+
     def each(df: DataFrame, n: int) -> None:
-        news = bronze.added([r.version for r in df.collect()])  # ``max_commits`` numbers
+        if silver.applied(("silver", n)):
+            return
+        done = silver.manifest()["batches"].get(DONE)
+        newest = max((r.version for r in df.collect()), default=0)  # ``max_commits`` numbers
+        if newest <= (done or 0):
+            return
+        news, upto = unread(bronze, done, newest)
         rows = observed(validated(news, *dims(), config=config, now=now)).persist()
         try:
             before = silver.manifest()["batches"].get(MARK)
             found = lateness(rows, before, config, now).first()
             mark = max(x for x in (before, found.seen, -(1 << 62)) if x is not None)
-            silver.upsert(valid(rows), ("silver", n), marks={MARK: mark})
             quarantined.append(quarantine(rows, now), ("silver", n))
+            silver.upsert(valid(rows), ("silver", n), marks={MARK: mark, DONE: upto})
+            bronze.register(reader, upto)
             report({"batch": n, "late": found.late, "watermark": mark})
         finally:
             rows.unpersist()
