@@ -48,6 +48,11 @@ def area_balance(silver: DataFrame, dim_dma: DataFrame, supply: DataFrame) -> Da
     Areas that the dimension lacks stay, without name and target.
     """
     metered = deltas(silver).groupBy("dma_id", F.to_date("reading_timestamp").alias("day")).agg(total("used_liters").alias("metered_liters"))
+    return balance(metered, dim_dma, supply)
+
+
+def balance(metered: DataFrame, dim_dma: DataFrame, supply: DataFrame) -> DataFrame:
+    """``area_balance`` of given metered liters by area and day."""
     joined = supply.join(metered, ["dma_id", "day"], "left").withColumn("metered_liters", F.coalesce("metered_liters", F.lit(0.0)))
     joined = joined.join(current(dim_dma, "dma_id").select("dma_id", "dma_name", "target_nrw_pct"), "dma_id", "left")
     nrw = F.when(F.col("supplied_liters") > 0, 100 * (F.col("supplied_liters") - F.col("metered_liters")) / F.col("supplied_liters"))

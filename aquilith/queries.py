@@ -25,7 +25,7 @@ from .operators.enrich import current, dma_columns, enrich, enrich_as_of, meter_
 from .operators.governance import expired, masked, row_filter, top_similar
 from .operators.merge import insert_absent, merge_latest
 from .operators.route import latest, quarantine, recent, valid, with_lateness
-from .plans import marts
+from .plans import apportion, maintain, marts
 from .plans.reconcile import reconciled, validated
 from .schemas import BRONZE, EVENT, SILVER_COLUMNS
 from .session import in_utc
@@ -576,6 +576,80 @@ def q38_tagged_mask(spark, sf_dir):
     return masked(rows.select(*tagged))
 
 
+# -- consumption shared out by time, and marts that follow Silver's changes
+
+_FLOWED = "((micros::HUGEINT * {x}::HUGEINT) // total::HUGEINT)"
+
+
+def _sql_pieces(name: str, source: str, unit: str, step: str) -> str:
+    """``source`` cut at the bounds of a unit, its step an interval."""
+    return f"""{name} AS (SELECT *, {_FLOWED.format(x="upto")} - {_FLOWED.format(x="start")} AS part, upto - start AS covered, upto - start < total AS is_cut FROM
+(SELECT *, greatest(epoch_us(period) - epoch_us(since), 0) AS start, least(epoch_us(period + {step}) - epoch_us(since), total) AS upto FROM
+(SELECT *, epoch_us(until) - epoch_us(since) AS total, unnest(range(date_trunc({unit}, since), until, {step})) AS period FROM {source})) WHERE upto > start)"""
+
+
+_INTERVALS = """cust AS (SELECT 'C' || c_custkey AS cid, c_mktsegment AS customer_type, CASE WHEN c_custkey % 2 = 0 THEN 'MONTHLY' ELSE 'QUARTERLY' END AS billing_cycle FROM customer),
+stretches AS (SELECT meter_id, dma_id, ref_customer_id, customer_type, billing_cycle, lag(reading_timestamp) OVER w AS since, reading_timestamp AS until,
+  CAST(floor(greatest(reading_value_liters - lag(reading_value_liters) OVER w, 0) * 1e6 + 0.5) AS BIGINT) AS micros FROM silver LEFT JOIN cust ON ref_customer_id = cid WINDOW w AS (PARTITION BY meter_id ORDER BY reading_timestamp))"""
+_SPANS = _INTERVALS + ", spans AS (SELECT * FROM stretches WHERE since IS NOT NULL)"
+_SUMS = "sum(part)::BIGINT AS micros, sum(covered)::BIGINT AS covered, count(*) AS n_intervals, count(*) FILTER (WHERE is_cut) AS n_cut"
+_HOURLY = f"{_sql_pieces('hours', 'spans', chr(39) + 'hour' + chr(39), 'INTERVAL 1 HOUR')}"
+_DAILY = f"{_sql_pieces('days', 'spans', chr(39) + 'day' + chr(39), 'INTERVAL 1 DAY')}"
+_MONTHLY = f"{_sql_pieces('months', '(SELECT * FROM spans WHERE billing_cycle = ' + chr(39) + 'MONTHLY' + chr(39) + ')', chr(39) + 'month' + chr(39), 'INTERVAL 1 MONTH')}"
+_QUARTERLY = f"{_sql_pieces('quarters', '(SELECT * FROM spans WHERE billing_cycle IS DISTINCT FROM ' + chr(39) + 'MONTHLY' + chr(39) + ')', chr(39) + 'quarter' + chr(39), 'INTERVAL 3 MONTH')}"
+
+
+@query(_WITH + f", {_SPANS}, {_HOURLY} SELECT meter_id, epoch_us(period) AS period, {_SUMS} FROM hours GROUP BY meter_id, period")
+def q39_hourly_apportioned(spark, sf_dir):
+    """Liters by meter and hour, the rise after a dropout shared by the hours it took."""
+    return flat(apportion.consumption(_silver(spark, sf_dir), "hour").drop("liters", "seconds"))
+
+
+_SHARED_AREAS = """areas AS (SELECT s.dma_id, s.day, any_value(ref_dma_name) AS dma_name, any_value(target_nrw_pct) AS target_nrw_pct, any_value(supplied_liters) AS supplied_liters, coalesce(any_value(metered), 0) AS metered_liters FROM
+(SELECT dma_id, CAST(reading_timestamp AS DATE) AS day, any_value(ref_dma_name) AS ref_dma_name, any_value(target_nrw_pct) AS target_nrw_pct, 40000.0::DOUBLE + 1000.0::DOUBLE * CAST(dma_id AS INT) AS supplied_liters FROM silver GROUP BY ALL) s
+LEFT JOIN (SELECT dma_id, CAST(period AS DATE) AS day, sum(part)::BIGINT::DOUBLE / 1e6 AS metered FROM days GROUP BY ALL) m ON m.dma_id = s.dma_id AND m.day = s.day GROUP BY s.dma_id, s.day)"""
+
+
+@query(
+    _WITH
+    + f""", {_SPANS}, {_DAILY}, {_SHARED_AREAS}
+SELECT dma_id, CAST(day AS VARCHAR) AS day, dma_name, target_nrw_pct, supplied_liters, CAST(round(metered_liters * 1e6) AS BIGINT) AS metered_micros, round(nrw_pct, 4) AS nrw_pct, nrw_pct > target_nrw_pct AS over_target
+FROM (SELECT *, 100 * (supplied_liters - metered_liters) / supplied_liters AS nrw_pct FROM areas)"""
+)
+def q40_areas_apportioned(spark, sf_dir):
+    """The areas' balance, each interval shared by the days it covers."""
+    silver = _silver(spark, sf_dir)
+    supply = silver.select("dma_id", F.to_date("reading_timestamp").alias("day")).distinct().withColumn("supplied_liters", F.lit(40000.0) + 1000.0 * F.col("dma_id").cast("int"))
+    areas = marts.balance(apportion.metered(silver), fixtures.dim_dma(spark, sf_dir), supply)
+    return flat(areas.withColumn("metered_micros", F.round(F.col("metered_liters") * 1e6).cast("long")).drop("metered_liters"))
+
+
+_BILLS = "(SELECT * FROM months UNION ALL BY NAME SELECT * FROM quarters)"
+
+
+@query(_WITH + f", {_SPANS}, {_MONTHLY}, {_QUARTERLY} SELECT ref_customer_id, customer_type, epoch_us(period) AS period, {_SUMS} FROM {_BILLS} GROUP BY ALL")
+def q41_billing_apportioned(spark, sf_dir):
+    """Liters by customer and billing period, shared over the periods' bounds."""
+    return flat(apportion.billing(with_customer(_silver(spark, sf_dir), fixtures.dim_customer(spark, sf_dir))).drop("liters", "seconds"))
+
+
+@query(
+    _WITH
+    + f""", {_SPANS}, {_HOURLY}, {_DAILY}, {_MONTHLY}, {_QUARTERLY}
+SELECT 'hourly' AS mart, meter_id AS owner, epoch_us(period) AS period, {_SUMS} FROM hours GROUP BY meter_id, period
+UNION ALL SELECT 'areas', dma_id, epoch_us(period), {_SUMS} FROM days GROUP BY dma_id, period
+UNION ALL SELECT 'billing', ref_customer_id, epoch_us(period), {_SUMS} FROM {_BILLS} GROUP BY ref_customer_id, customer_type, period"""
+)
+def q42_marts_maintained(spark, sf_dir):
+    """The three marts after four batches in no order of time, with late rows and replacements, each of which touched only its own days."""
+    rows = with_customer(valid(_judged(spark, sf_dir)), fixtures.dim_customer(spark, sf_dir))
+    kept = maintain.MaintainedMarts(spark, scratch(spark), rows.schema, parts=BY_READING[:1])
+    for n in range(4):
+        kept.apply(rows.filter(F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(4)) == n), n)
+    found = [kept.read(name).select(F.lit(name).alias("mart"), F.col(by[0]).alias("owner"), "period", "micros", "covered", "n_intervals", "n_cut") for name, (by, _) in maintain.MARTS.items()]
+    return flat(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
 def bronze_from_log(log: DataFrame) -> DataFrame:
     """Log rows as Bronze rows at the fixed clock."""
     return to_bronze(log, NOW)
