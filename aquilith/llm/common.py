@@ -7,7 +7,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -141,6 +141,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{_ROOTS[app]}"
 
 
+#: Rows that Spark sends to a Python worker at once while a table is written. Ten thousand, its own
+#: default, are 30 MB of ordinary texts and more of long ones, in the JVM's direct memory and in the worker's.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Fewer rows a batch while the block runs, unless the session asks for fewer still."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 class Workspace:
     """Tables written to the shared folder: each cuts the lineage above it.
 
@@ -157,7 +174,8 @@ class Workspace:
     def put(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.path}/{self.count:04d}"
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._aquilith_path = path
         self.held.add(path)
