@@ -1,14 +1,14 @@
-"""Row filters, masks and vector search."""
+"""Row filters, masks and storage tiers."""
 
 from __future__ import annotations
 
 from datetime import date
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .vectors import top_similar
+
 
 def row_filter(df: DataFrame, entitlements: DataFrame, user: str, on: str = "region") -> DataFrame:
     """The rows whose region the user is entitled to."""
@@ -21,62 +21,10 @@ def masked(df: DataFrame, *, tag: str = "pii", columns: tuple[str, ...] = ()) ->
     return df.select(*[F.sha2(F.col(c).cast("string"), 256).alias(c) if c in tagged or c in columns else F.col(c) for c in df.columns])
 
 
-def _nearest(ids: np.ndarray, matrix: np.ndarray, k: int, id_col: str, vector_col: str):
-    """A task's ``k`` nearest of its vectors to each query of a block, by matrix products."""
-
-    def run(batches):
-        best = np.full((len(ids), 0), -np.inf)
-        names = np.zeros((len(ids), 0), np.int64)
-        for b in batches:
-            own = b.column(b.schema.get_field_index(id_col)).to_numpy(zero_copy_only=False).astype(np.int64)
-            column = b.column(b.schema.get_field_index(vector_col))
-            rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(own), -1)
-            norm = np.sqrt((rows * rows).sum(axis=1))
-            with np.errstate(invalid="ignore", divide="ignore"):
-                cosine = np.round(matrix @ (rows / norm[:, None]).T, 12)
-            cosine[ids[:, None] == own[None, :]] = -np.inf
-            best, names = np.hstack([best, np.nan_to_num(cosine, nan=-np.inf)]), np.hstack([names, np.broadcast_to(own, cosine.shape)])
-            order = np.lexsort((names, -best), axis=1)[:, :k]
-            best, names = np.take_along_axis(best, order, 1), np.take_along_axis(names, order, 1)
-        there = np.isfinite(best)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, there.sum(axis=1))), pa.array(names[there]), pa.array(best[there])], ["query_id", id_col, "cosine"])
-
-    return run
-
-
-def top_similar(vectors: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding", block_bytes: int = 64_000_000) -> DataFrame:
-    """(query_id, id, cosine, rank): the k nearest of all vectors for each stated query, exactly.
-
-    Queries go in blocks of at most ``block_bytes``, each by matrix products over a
-    scan of all vectors, of which a task sends k rows a query. Ids are whole
-    numbers, vectors of one length; null vectors and those of length 0 are near nothing.
-    """
-    spark, whole = vectors.sparkSession, queries.filter(F.col(vector_col).isNotNull())
-    size = whole.agg(F.count("*").alias("n"), F.max(F.size(vector_col)).alias("d")).first()
-    blocks = max(1, -(-size.n * (size.d or 0) * 16 // block_bytes))
-    cuts = whole.select(F.percentile_approx(id_col, [i / blocks for i in range(1, blocks)], 10_000)).first()[0] if blocks > 1 else []
-    bounds = [None, *sorted(set(cuts)), None]
-    kind = vectors.schema[id_col].dataType.simpleString()
-    rows = vectors.select(id_col, vector_col).filter(F.col(vector_col).isNotNull())
-    found = None
-    for low, high in zip(bounds, bounds[1:], strict=False):
-        part = whole.select(id_col, vector_col)
-        part = part if low is None else part.filter(F.col(id_col) >= low)
-        part = part if high is None else part.filter(F.col(id_col) < high)
-        got = part.toArrow().combine_chunks()
-        ids = got.column(0).to_numpy().astype(np.int64)
-        matrix = got.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1) if len(ids) else np.zeros((0, 1))
-        norm = np.sqrt((matrix * matrix).sum(axis=1))
-        keep = norm > 0
-        block = rows.mapInArrow(_nearest(ids[keep], matrix[keep] / norm[keep][:, None], k, id_col, vector_col), f"query_id {kind}, {id_col} {kind}, cosine double") if keep.any() else None
-        if block is not None:
-            found = block if found is None else found.unionByName(block)
-    if found is None:
-        found = spark.createDataFrame([], f"query_id {kind}, {id_col} {kind}, cosine double")
-    return found.withColumn("rank", F.expr(f"row_number() over (partition by query_id order by cosine desc, {id_col})")).filter(F.col("rank") <= k)
-
-
 def expired(df: DataFrame, today: date | str, *, cool_days: int = 90, archive_days: int = 365) -> DataFrame:
     """(ingest_date, tier) of each partition date: hot, cool or archive."""
     age = F.datediff(F.lit(today).cast("date"), F.col("ingest_date"))
     return df.select("ingest_date").distinct().withColumn("tier", F.when(age > archive_days, "archive").when(age > cool_days, "cool").otherwise("hot"))
+
+
+__all__ = ["expired", "masked", "row_filter", "top_similar"]

@@ -24,6 +24,7 @@ from .operators.bronze import to_bronze
 from .operators.enrich import current, dma_columns, enrich, enrich_as_of, meter_columns, with_customer
 from .operators.governance import expired, masked, row_filter, top_similar
 from .operators.merge import insert_absent, merge_latest
+from .operators.vectors import VectorIndex
 from .operators.route import latest, quarantine, recent, valid, with_lateness
 from .plans import apportion, maintain, marts
 from .plans.reconcile import reconciled, validated
@@ -650,6 +651,14 @@ def q42_marts_maintained(spark, sf_dir):
     return flat(found[0].unionByName(found[1]).unionByName(found[2]))
 
 
+@query()
+def q43_vector_index(spark, sf_dir):
+    """Every vector whose id is divisible by 50 against all, through the fitted index."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    index = VectorIndex(spark, f"{scratch(spark)}/vectors").build(vectors)
+    return flat(index.search(vectors.filter("vec_id % 50 = 0"), 5))
+
+
 def bronze_from_log(log: DataFrame) -> DataFrame:
     """Log rows as Bronze rows at the fixed clock."""
     return to_bronze(log, NOW)
