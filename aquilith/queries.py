@@ -28,13 +28,16 @@ from .operators.vectors import VectorIndex
 from .operators.route import latest, quarantine, recent, valid, with_lateness
 from .plans import apportion, maintain, marts
 from .plans.reconcile import reconciled, validated
+from .plans.reconcile import run as reconcile
 from .schemas import BRONZE, EVENT, SILVER_COLUMNS
 from .session import in_utc
 from .sources import fixtures, synthetic
 from .sources.fixtures import EXPRESSIONS, LAG_SECONDS, NOW
 from .sources.log import as_log, produce, replay_stream
 from .sources.tables import BY_POSITION, BY_READING, Table
+from .streaming import events
 from .streaming.pipeline import bronze_stream, silver_stream
+from .streaming.state import HOUR, alert_stream, session_stream, state_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -337,6 +340,11 @@ def q17_stream_bronze_silver(spark, sf_dir):
     silver = Table(spark, f"{root}/silver", valid(judged).schema, parts=BY_READING[:1], merge_on_read=True)  # by day alone: a small table
     bad = Table(spark, f"{root}/quarantine", quarantine(judged, NOW).schema, parts=BY_POSITION[:1])
     silver_stream(bronze, silver, bad, dims, f"{root}/cp-silver", now=NOW, once=True).awaitTermination()
+    return _told(silver, bad)
+
+
+def _told(silver: Table, bad: Table) -> DataFrame:
+    """Silver's and quarantine's rows as the stream queries tell them."""
     columns = ["kafka_partition", "kafka_offset", "meter_id", "reading_timestamp", "unit", "reading_value"]
     s = silver.read().select(F.lit("silver").alias("kind"), *columns, F.col("reading_value_liters").alias("liters"), "dma_id", F.col("ref_dma_name").alias("area"), F.lit("").alias("reasons"))
     q = bad.read().select(F.lit("quarantine").alias("kind"), *columns, F.lit(None).cast("double").alias("liters"), "dma_id", F.lit(None).cast("string").alias("area"), F.array_join("quarantine_reasons", "|").alias("reasons"))
@@ -659,6 +667,66 @@ def q43_vector_index(spark, sf_dir):
     return flat(index.search(vectors.filter("vec_id % 50 = 0"), 5))
 
 
+# -- event time and arbitrary state: readings replayed in files by time, and a stream stopped and started again
+
+
+def _replayed(spark: SparkSession, rows: DataFrame, stream: Callable[[DataFrame], DataFrame], files: int = 4) -> DataFrame:
+    """What a stream makes of ``rows``, given in files by time, with a restart half way; a heartbeat ends it."""
+    root, at = scratch(spark), F.col("reading_timestamp")
+    bounds = rows.filter(at.isNotNull()).select(F.unix_micros(at).alias("t")).agg(F.min("t").alias("low"), F.max("t").alias("high")).first()
+    beat = [tuple("heartbeat" if f.name == "meter_id" else None for f in rows.schema)]
+    beat = spark.createDataFrame(beat, rows.schema).withColumn("reading_timestamp", F.timestamp_micros(F.lit((bounds.high or 0) + 400 * 24 * HOUR)))
+    part = F.least(F.lit(files - 1), F.floor((F.unix_micros(at) - (bounds.low or 0)) * files / ((bounds.high or 0) - (bounds.low or 0) + 1)))
+    with state_store(spark):
+        for turn in range(2):
+            for n in range(turn * files // 2, (turn + 1) * files // 2):
+                rows.filter(part == n).coalesce(1).write.mode("append").parquet(f"{root}/in")
+            if turn:
+                beat.write.mode("append").parquet(f"{root}/in")
+            read = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+            sink = stream(read).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+            sink.trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return spark.read.parquet(f"{root}/out").filter("meter_id <> 'heartbeat'")
+
+
+@query(ORACLE_SQL["q17_stream_bronze_silver"])
+def q44_event_time_state(spark, sf_dir):
+    """The log through Bronze files and a Silver that drops repeated positions within the watermark, rows that come days late, then reconciliation."""
+    root, rows = scratch(spark), _bronze(spark, sf_dir)
+    dims = lambda: (fixtures.dim_meter(spark, sf_dir), fixtures.dim_dma(spark, sf_dir))
+    half = rows.filter(f"not ({LATE})").withColumn("second", F.col("ingest_date") >= F.lit("2024-01-16").cast("date"))
+    for part in (half.filter("not second"), half.filter("second").unionByName(half.filter("kafka_offset % 5 = 0")), rows.filter(LATE)):
+        produce(part, f"{root}/log")
+    bronze = events.FileBronze(spark, f"{root}/bronze")
+    events.bronze_files(replay_stream(spark, f"{root}/log"), bronze.path, f"{root}/cp-bronze", now=NOW, once=True).awaitTermination()
+    judged = validated(bronze.read(), *dims(), now=NOW)
+    silver = Table(spark, f"{root}/silver", valid(judged).schema, parts=BY_READING[:1], merge_on_read=True)
+    bad = Table(spark, f"{root}/quarantine", quarantine(judged, NOW).schema, parts=BY_POSITION[:1])
+    events.silver_events(bronze.stream(), silver, bad, dims, f"{root}/cp-silver", now=NOW, once=True).awaitTermination()
+    reconcile(spark, Config(lookback_days=60), bronze=bronze, silver=silver, quarantined=bad, dim_meter=dims()[0], dim_dma=dims()[1], now=NOW)
+    return _told(silver, bad)
+
+
+@query(ORACLE_SQL["q34_sessions"])
+def q45_sessions_stateful(spark, sf_dir):
+    """Sessions as state with timers; the stream is stopped half way and goes on from its checkpoint."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").cast("string").alias("meter_id"), F.col("ts").cast("timestamp").alias("reading_timestamp"))
+    return flat(_replayed(spark, rows, lambda s: session_stream(s, 2 * HOUR)))
+
+
+@query(
+    _WITH
+    + """SELECT meter_id, epoch_us(reading_timestamp) AS reading_timestamp, 'spike' AS kind, round(used_liters, 4) AS used_liters, round(used_liters / top, 4) AS score FROM
+(SELECT *, max(used_liters) OVER (PARTITION BY meter_id ORDER BY reading_timestamp ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS top FROM deltas) WHERE top > 0 AND used_liters / top > 1.5
+UNION ALL SELECT meter_id, epoch_us(reading_timestamp), 'silent', NULL, NULL FROM
+(SELECT *, lead(reading_timestamp) OVER (PARTITION BY meter_id ORDER BY reading_timestamp) AS next FROM silver) WHERE next IS NULL OR next - reading_timestamp >= INTERVAL 36 HOUR"""
+)
+def q46_alerts_stateful(spark, sf_dir):
+    """Spikes and silences as state with timers, over a restart; scores are held from batch to batch."""
+    rows = _silver(spark, sf_dir).select("meter_id", "reading_timestamp", "reading_value_liters")
+    return flat(_replayed(spark, rows, lambda s: alert_stream(s, threshold=1.5, silence_micros=36 * HOUR)))
+
+
 def bronze_from_log(log: DataFrame) -> DataFrame:
     """Log rows as Bronze rows at the fixed clock."""
     return to_bronze(log, NOW)
