@@ -110,7 +110,7 @@ def lean(name: str = ""):
     return wrap
 
 
-def small(batches, column: int, size: int = 4_000_000):
+def small(batches, column: int, size: int = 2_000_000):
     """The batches in slices whose texts hold about ``size`` bytes together, as a batch of long texts outgrows a worker."""
     for b in batches:
         yield from slices_of(b, column, size)
@@ -143,15 +143,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: Rows that Spark sends to a Python worker at once while a table is written. Ten thousand, its own
 #: default, are 30 MB of ordinary texts and more of long ones, in the JVM's direct memory and in the worker's.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-@contextmanager
-def small_batches(spark: SparkSession):
-    """Fewer rows a batch while the block runs, unless the session asks for fewer still."""
+def bound_batches(spark: SparkSession) -> str:
+    """Fewer rows a batch from now on, unless the session asks for fewer still; gives the setting before."""
     before = spark.conf.get(_BATCH)
     spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """``bound_batches`` while the block runs."""
+    before = bound_batches(spark)
     try:
         yield
     finally:
