@@ -5,14 +5,15 @@ and read again as the next one's documents. The settings are those of
 production: near copies are texts that share five-word shingles with a Jaccard
 likeness of 0.8 or more. Stages read whole texts, however long; columns that are
 added to ``documents`` pass through under their names, whatever these are, and
-an empty table gives an empty one.
+an empty table gives an empty one. The session keeps small Arrow batches from the
+first stage on, as whoever writes a stage's result runs it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aquilith.llm.common import Workspace
+from aquilith.llm.common import Workspace, bound_batches
 from aquilith.llm.language import keep_identified, train
 from aquilith.llm.mixing import mixed
 from aquilith.llm.partenum import one_of_each
@@ -28,6 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with a null id, label or source are judged like others; rows repeated
     stay or go together.
     """
+    bound_batches(spark)
     return keep_identified(docs, train(docs))
 
 
@@ -39,6 +41,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id keeps them, nulls last; rows repeated are treated alike. A null text stays
     null, one that loses all lines is empty.
     """
+    bound_batches(spark)
     return drop_lines(docs, long_tokens=8)
 
 
@@ -48,6 +51,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows repeated with id and text one stays. Texts that are null or without
     words, and rows with a null id, stay.
     """
+    bound_batches(spark)
     return one_of_each(docs, shingle=5, threshold=80)
 
 
@@ -66,6 +70,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text has no tokens. Rows repeated behind each other, as the
     mix writes copies, are cut differently, others alike.
     """
+    bound_batches(spark)
     return encode_docs(docs, number_runs=True)
 
 
