@@ -20,13 +20,14 @@ from .config import Config
 from .functions.avro import decoded, encoded
 from .functions.rules import soft_metrics
 from .functions.units import to_liters
+from .operators import asof
 from .operators.bronze import to_bronze
 from .operators.enrich import current, dma_columns, enrich, enrich_as_of, meter_columns, with_customer
 from .operators.governance import expired, masked, row_filter, top_similar
 from .operators.merge import insert_absent, merge_latest
 from .operators.vectors import VectorIndex
 from .operators.route import latest, quarantine, recent, valid, with_lateness
-from .plans import apportion, maintain, marts
+from .plans import apportion, forecast, leaks, maintain, marts, quality, runs
 from .plans.reconcile import reconciled, validated
 from .plans.reconcile import run as reconcile
 from .schemas import BRONZE, EVENT, SILVER_COLUMNS
@@ -727,6 +728,86 @@ def q46_alerts_stateful(spark, sf_dir):
     return flat(_replayed(spark, rows, lambda s: alert_stream(s, threshold=1.5, silence_micros=36 * HOUR)))
 
 
+# -- numbers out of order, leaks, overlapping revisions, demand, quality over time
+
+
+@query(
+    _WITH
+    + """, each AS (SELECT meter_id, sequence_no, count(*) AS n FROM bronze WHERE meter_id IS NOT NULL GROUP BY ALL),
+islands AS (SELECT *, sequence_no - row_number() OVER (PARTITION BY meter_id ORDER BY sequence_no) AS island FROM each),
+found AS (SELECT meter_id, min(sequence_no) AS low, max(sequence_no) AS high, sum(n)::BIGINT AS n FROM islands GROUP BY meter_id, island)
+SELECT 'gap' AS kind, meter_id, high AS low, next AS high, next - high - 1 AS numbers, NULL::BIGINT AS n_rows FROM (SELECT *, lead(low) OVER (PARTITION BY meter_id ORDER BY low) AS next FROM found) WHERE next IS NOT NULL
+UNION ALL SELECT 'meter', meter_id, min(low), max(high), sum(high - low + 1)::BIGINT, sum(n)::BIGINT FROM found GROUP BY meter_id"""
+)
+def q47_number_runs(spark, sf_dir):
+    """Gaps and totals of sequence numbers from runs kept over batches that arrive in no order."""
+    rows = _bronze(spark, sf_dir)
+    kept = runs.NumberRuns(spark, f"{scratch(spark)}/runs")
+    for n in (2, 0, 1):
+        kept.add(rows.filter(F.pmod(F.xxhash64("kafka_offset", "kafka_partition"), F.lit(3)) == n), n)
+    found = kept.read()
+    gap = runs.gaps(found).select(F.lit("gap").alias("kind"), F.col("key").alias("meter_id"), F.col("after").alias("low"), F.col("before").alias("high"), F.col("missing").alias("numbers"), F.lit(None).cast("long").alias("n_rows"))
+    return gap.unionByName(runs.totals(found).select(F.lit("meter").alias("kind"), F.col("key").alias("meter_id"), "low", "high", F.col("n_numbers").alias("numbers"), "n_rows"))
+
+
+@query(
+    _WITH.replace("WITH ev", "WITH RECURSIVE ev", 1)
+    + """, nights AS (SELECT meter_id, CAST(reading_timestamp AS DATE) AS night, min(flow_rate) AS flow FROM bronze WHERE hour(reading_timestamp) IN (2, 3) AND flow_rate IS NOT NULL AND meter_id IS NOT NULL GROUP BY ALL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY meter_id ORDER BY night) AS i, max(night) OVER (PARTITION BY meter_id) AS final FROM nights),
+-- night by night: the sum, and the night its stretch began
+walk AS (SELECT meter_id, i, night, final, greatest(flow - 0.5, 0) AS s, CASE WHEN flow > 0.5 THEN night END AS onset FROM numbered WHERE i = 1
+  UNION ALL SELECT n.meter_id, n.i, n.night, n.final, greatest(w.s + n.flow - 0.5, 0), CASE WHEN w.s + n.flow - 0.5 <= 0 THEN NULL ELSE coalesce(w.onset, n.night) END FROM walk w JOIN numbered n ON n.meter_id = w.meter_id AND n.i = w.i + 1),
+tops AS (SELECT meter_id, onset, final, min(night) FILTER (WHERE s > 3) AS alarmed, max(s) AS excess, max({'s': s, 'night': night, 'i': i}) AS top, min(i) AS first FROM walk WHERE onset IS NOT NULL GROUP BY ALL)
+SELECT meter_id, CAST(onset AS VARCHAR) AS onset, CAST(alarmed AS VARCHAR) AS alarmed, CAST(CASE WHEN top.night < final THEN top.night END AS VARCHAR) AS ended, top.i - first + 1 AS nights, round(excess, 4) AS excess FROM tops WHERE alarmed IS NOT NULL"""
+)
+def q48_leak_onset(spark, sf_dir):
+    """Leaks by the night they began and ended, from the cumulative sum of nightly least flows."""
+    return flat(leaks.leaks(_bronze(spark, sf_dir)))
+
+
+@query(
+    _WITH
+    + """, revisions AS (SELECT m_id, CASE WHEN k % 4 = 0 THEN DATE '2024-01-12' ELSE DATE '2020-01-01' END AS s, NULL::DATE AS f, ref_meter_type AS kind, ref_meter_status AS status FROM dim_meter
+UNION ALL SELECT m_id, DATE '2020-01-01', DATE '2024-01-12', 'MECHANICAL', 'ACTIVE' FROM dim_meter WHERE k % 4 = 0
+UNION ALL SELECT m_id, DATE '2024-01-08', DATE '2024-01-18', 'BENCH', 'REPAIR' FROM dim_meter WHERE k % 6 = 0
+UNION ALL SELECT m_id, DATE '2024-01-09', DATE '2024-01-10', 'BENCH', 'LOST' FROM dim_meter WHERE k % 6 = 0),
+points AS (SELECT DISTINCT m_id, unnest([s, f]) AS day FROM revisions),
+held AS (SELECT p.m_id, p.day, max_by({'kind': kind, 'status': status}, s) AS r FROM points p LEFT JOIN revisions v ON v.m_id = p.m_id AND p.day >= s AND (f IS NULL OR p.day < f) WHERE p.day IS NOT NULL GROUP BY ALL)
+SELECT kafka_offset, r.kind AS ref_meter_type, r.status AS ref_meter_status FROM bronze ASOF LEFT JOIN held ON meter_id = m_id AND CAST(reading_timestamp AS DATE) >= day"""
+)
+def q49_asof_scan(spark, sf_dir):
+    """Readings with the meter revision that held, where revisions overlap, by one sorted scan."""
+    revisions = fixtures.dim_meter(spark, sf_dir, history=True).select("meter_id", "meter_type", "status", "effective_start_date", "effective_end_date")
+    repairs = fixtures.dim_meter(spark, sf_dir).filter("cast(meter_id as int) % 6 = 0")
+    for status, start, end in (("REPAIR", "2024-01-08", "2024-01-18"), ("LOST", "2024-01-09", "2024-01-10")):
+        dates = (F.lit(d).cast("date").alias(c) for d, c in ((start, "effective_start_date"), (end, "effective_end_date")))
+        revisions = revisions.unionByName(repairs.select("meter_id", F.lit("BENCH").alias("meter_type"), F.lit(status).alias("status"), *dates))
+    facts = _bronze(spark, sf_dir).select("kafka_offset", "meter_id", "reading_timestamp")
+    found = asof.as_of(facts, revisions, "meter_id", F.to_date("reading_timestamp"))
+    return found.select("kafka_offset", F.col("revision.meter_type").alias("ref_meter_type"), F.col("revision.status").alias("ref_meter_status"))
+
+
+@query()
+def q50_demand_forecast(spark, sf_dir):
+    """Every meter's fit and its errors over the last week, beside those of the week before."""
+    hourly = apportion.consumption(_silver(spark, sf_dir), "hour").select("meter_id", "period", "liters")
+    models = forecast.fit(forecast.sums(hourly))
+    scored = forecast.backtest(hourly, F.lit(datetime(2024, 1, 18, tzinfo=UTC)))
+    weights = [F.round(F.col("weights")[i], 6).alias(f"w{i}") for i in range(forecast.N)]
+    return flat(models.join(scored, "meter_id", "left").select("meter_id", "n_hours", *weights, "n", "error", "baseline_error"))
+
+
+@query()
+def q51_quality_over_time(spark, sf_dir):
+    """By area and week: rows, violations, meters and quantiles from merged daily sketches, and the drift against the week before."""
+    days = quality.daily(_judged(spark, sf_dir)).withColumn("week", F.date_trunc("week", "day").cast("date"))
+    weeks = quality.merged(days, "area", "week")
+    told = quality.profile(weeks, "area", "week")
+    shift = quality.drift(weeks.withColumn("week", F.date_add("week", 7)), weeks, "area", "week")
+    counts = weeks.select("area", "week", "n_rows", "n_valid")
+    return flat(told.join(counts, ["area", "week"]).join(shift, ["area", "week", "measure"], "left"))
+
+
 def bronze_from_log(log: DataFrame) -> DataFrame:
     """Log rows as Bronze rows at the fixed clock."""
     return to_bronze(log, NOW)
