@@ -28,7 +28,12 @@ def sequence_gaps(rows: DataFrame) -> DataFrame:
 
 
 def deltas(silver: DataFrame) -> DataFrame:
-    """Silver rows with used_liters, the register's rise since the meter's previous reading; a fall counts 0."""
+    """Silver rows with used_liters, the register's rise since the meter's previous reading; a fall counts 0.
+
+    Rows that have them come back as they are, so several marts can share one pass.
+    """
+    if "used_liters" in silver.columns:
+        return silver
     rise = F.col("reading_value_liters") - F.lag("reading_value_liters").over(by_meter())
     return silver.withColumn("delta_liters", rise).withColumn("used_liters", F.greatest(F.coalesce(rise, F.lit(0.0)), F.lit(0.0)))
 

@@ -6,9 +6,11 @@ engines' rows compare value by value. The clock is fixed.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +85,16 @@ def scratch(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
-    return f"{named.rstrip('/')}/aquilith-{uuid.uuid4().hex}" if named else f"file://{tempfile.mkdtemp(prefix='aquilith-')}"
+    folder = f"{named.rstrip('/')}/aquilith-{uuid.uuid4().hex}" if named else f"file://{tempfile.mkdtemp(prefix='aquilith-')}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Results are read lazily, so what a query wrote goes when the driver exits."""
+    with suppress(Exception):  # the JVM may be gone
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # -- the tables that oracles share
@@ -381,8 +392,8 @@ def q21_daily(spark, sf_dir):
     return flat(marts.daily_usage(_silver(spark, sf_dir), 5000.0))
 
 
-def _areas(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+def _areas(spark, sf_dir, silver=None):
+    silver = _silver(spark, sf_dir) if silver is None else silver
     supply = silver.select("dma_id", F.to_date("reading_timestamp").alias("day")).distinct().withColumn("supplied_liters", F.lit(40000.0) + 1000.0 * F.col("dma_id").cast("int"))
     return marts.area_balance(silver, fixtures.dim_dma(spark, sf_dir), supply)
 
@@ -404,8 +415,8 @@ usage AS (SELECT ref_customer_id, customer_type, CAST(CASE WHEN billing_cycle =
 FROM deltas LEFT JOIN cust ON ref_customer_id = cid GROUP BY ALL)"""
 
 
-def _customers(spark, sf_dir):
-    return marts.customer_usage(with_customer(_silver(spark, sf_dir), fixtures.dim_customer(spark, sf_dir)))
+def _customers(spark, sf_dir, silver=None):
+    return marts.customer_usage(with_customer(_silver(spark, sf_dir) if silver is None else silver, fixtures.dim_customer(spark, sf_dir)))
 
 
 @query(_WITH + f", {_CUSTOMERS} SELECT ref_customer_id, customer_type, CAST(period AS VARCHAR) AS period, round(liters, 4) AS liters, n_meters FROM usage")
@@ -423,9 +434,12 @@ JOIN (SELECT CAST(p AS DATE) AS day, max(liters) AS peak FROM hourly GROUP BY 1)
 UNION ALL SELECT 'executive', customer_type, round(liters, 4), s, n FROM (SELECT customer_type, sum(liters::DECIMAL(38,9))::DOUBLE AS liters, count(DISTINCT ref_customer_id) AS n FROM usage GROUP BY 1), (SELECT round(sum(supplied_liters::DECIMAL(38,9))::DOUBLE, 4) AS s FROM areas)"""
 )
 def q24_dashboards(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+    # the deltas once, for the four marts that need them
+    shared = f"{scratch(spark)}/deltas"
+    marts.deltas(_silver(spark, sf_dir)).write.parquet(shared)
+    silver = spark.read.parquet(shared)
     ops = marts.operations(marts.consumption(silver, "hour"), marts.daily_usage(silver, 5000.0))
-    top = marts.executive(_areas(spark, sf_dir), _customers(spark, sf_dir))
+    top = marts.executive(_areas(spark, sf_dir, silver), _customers(spark, sf_dir, silver))
     a = ops.select(F.lit("operations").alias("board"), F.col("day").cast("string").alias("item"), F.col("peak_hour_liters").alias("a"), F.col("liters").alias("b"), F.col("n_anomalies").alias("c"))
     return flat(a.unionByName(top.select(F.lit("executive").alias("board"), F.col("customer_type").alias("item"), F.col("liters").alias("a"), F.col("supplied_liters").alias("b"), F.col("n_customers").alias("c"))))
 
