@@ -334,15 +334,26 @@ def _met(batches):
         yield batch([row])
 
 
+def _longs(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+
+
+def _lists(batch: pa.RecordBatch, *columns: int):
+    """Row by row the named list columns' items, as Arrow slices: a row is a part of many thousand members, and as Python objects a batch of them outgrows a worker."""
+    for i in range(batch.num_rows):
+        yield [batch.column(c)[i].values for c in columns]
+
+
 def _weights(batches):
     """(part, key, weight): by part and set, the members that its groups hold, once for every signature."""
     for b in batches:
-        for part, keys, ends, times in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-            if not keys:
+        for part, row in zip(b.column(0).to_pylist(), _lists(b, 1, 2, 3), strict=True):
+            keys, ends, times = map(_longs, row)
+            if not len(keys):
                 continue
             count = np.diff(ends, prepend=0)
-            found, at = np.unique(np.array(keys, np.int64), return_inverse=True)
-            weight = np.bincount(at, np.repeat(count * np.array(times), count)).astype(np.int64)
+            found, at = np.unique(keys, return_inverse=True)
+            weight = np.bincount(at, np.repeat(count * times, count)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), part)), pa.array(found), pa.array(weight)], ["part", "key", "weight"])
 
 
@@ -352,9 +363,9 @@ def _open(tried: int):
     @lean()
     def run(batches):
         for b in batches:
-            for part, keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            for part, (keys, ends, info) in zip(b.column(0).to_pylist(), _lists(b, 1, 2, 3), strict=True):
                 known, root = _sorted_info(info, "root")
-                key, end = np.array(keys, np.int64), np.array(ends, np.int64)
+                key, end = _longs(keys), _longs(ends)
                 root, begin = root[np.searchsorted(known, key)], np.append(0, end[:-1])
                 open_ = (np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)) & (end - begin > tried + 1)
                 if open_.any():
@@ -366,9 +377,9 @@ def _open(tried: int):
     return run
 
 
-def _sorted_info(info: list, *columns: str) -> list[np.ndarray]:
+def _sorted_info(info: pa.StructArray, *columns: str) -> list[np.ndarray]:
     """Keys in order, and the columns of their rows."""
-    out = [np.array([x[c] for x in info], np.int64) for c in ("key", *columns)]
+    out = [_longs(info.field(c)) for c in ("key", *columns)]
     order = np.argsort(out[0])
     return [x[order] for x in out]
 
@@ -383,9 +394,9 @@ def _stars(tried: int, width: int, threshold: int):
     @lean()
     def run(batches):
         for b in batches:
-            for keys, ends, info in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            for keys, ends, info in _lists(b, 0, 1, 2):
                 known, weight, root = _sorted_info(info, "weight", "root")
-                key, end = np.array(keys, np.int64), np.array(ends, np.int64)
+                key, end = _longs(keys), _longs(ends)
                 at = np.searchsorted(known, key)
                 seg = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))
                 order = np.lexsort((key, -weight[at], seg))  # groups stay in their places
@@ -393,7 +404,7 @@ def _stars(tried: int, width: int, threshold: int):
                 root = root[at]
                 begin = np.append(0, end[:-1])
                 open_ = (np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)) & (end - begin > tried + 1)
-                if "n" in info[0]:
+                if info.type.get_field_index("n") >= 0:
                     sketched = _sorted_info(info, "n", *(f"s{i}" for i in range(WORDS)))[1:]
                     n, bits = sketched[0][at], np.stack(sketched[1:], axis=1)[at].view(np.uint64)
                 else:
