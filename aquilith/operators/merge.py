@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from .route import KEY, ORDER, latest
 
 
+#: What tells log rows apart. Offsets begin anew where a topic is made again, so a
+#: position alone does not; a row delivered twice agrees in all of these.
+IDENTITY = ("kafka_partition", "kafka_offset", "kafka_timestamp", "ingest_timestamp", "raw_payload")
+
+
+def identity(*tables: DataFrame | list[str]) -> tuple[str, ...]:
+    """The columns of ``IDENTITY`` that all the tables, or lists of columns, have."""
+    return tuple(c for c in IDENTITY if all(c in (t if isinstance(t, list) else t.columns) for t in tables))
+
+
 def newest(df: DataFrame, keys: tuple[str, ...] = KEY, order: tuple[str, ...] = ORDER) -> DataFrame:
     """The latest row of each key; rows with a null key never match and all stay."""
     return latest(df.dropna(subset=list(keys)), keys, order).unionByName(df.filter(" or ".join(f"{k} is null" for k in keys)))
@@ -27,12 +37,14 @@ def merge_latest(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = K
     return merged.unionByName(both.filter(" or ".join(f"{k} is null" for k in keys))).drop("_old")
 
 
-def insert_absent(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = ("kafka_partition", "kafka_offset")) -> DataFrame:
+def insert_absent(target: DataFrame, source: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
     """The source rows whose keys, nulls equal, the target lacks; one a key.
 
-    The key is a log position. (meter, time, offset) alone would lose rows:
-    offsets repeat over partitions, and failed payloads have no meter or time.
+    Without ``keys`` these are a log row's ``IDENTITY``, as far as both have it. (meter,
+    time, offset) alone would lose rows: offsets repeat over partitions, and failed
+    payloads have no meter or time.
     """
+    keys = identity(target, source) if keys is None else keys
     t = target.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
     on = None
     for k in keys:
