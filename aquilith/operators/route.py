@@ -28,8 +28,9 @@ def valid(df: DataFrame) -> DataFrame:
     return df.filter("is_valid").select(*SILVER_COLUMNS)
 
 
-def quarantine(df: DataFrame, now: datetime | Column | None = None) -> DataFrame:
-    return df.filter("not is_valid").select(*QUARANTINE_COLUMNS).withColumn("quarantined_at", clock(now))
+def quarantine(df: DataFrame, now: datetime | Column | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """Rows that break a rule; ``also`` names further columns to keep."""
+    return df.filter("not is_valid").select(*QUARANTINE_COLUMNS, *also).withColumn("quarantined_at", clock(now))
 
 
 def recent(df: DataFrame, days: int, today: Column | None = None) -> DataFrame:

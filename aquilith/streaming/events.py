@@ -3,7 +3,7 @@
 Bronze is a partitioned Parquet folder that the file sink writes; its log makes
 every batch visible whole or not at all, keeps all files, and is what the
 next stream follows, so a reader that starts late or was down misses nothing.
-Silver drops log positions that are delivered again within the watermark. Their
+Silver drops log rows that are delivered again within the watermark. Their
 state is bounded by the watermark; rows behind it are dropped by the operator,
 which counts them (``dropped_late``), and come in with reconciliation.
 """
@@ -56,9 +56,9 @@ def event_time(config: Config, now: datetime | Column | None) -> Column:
 
 
 def deduplicated(bronze: DataFrame, *, config: Config = Config(), now: datetime | Column | None = None) -> DataFrame:
-    """A stream of Bronze rows without log positions seen before within the watermark."""
-    timed = bronze.withColumn("event_time", event_time(config, now)).withWatermark("event_time", f"{config.watermark_hours} hours")
-    return timed.dropDuplicatesWithinWatermark(POSITION)
+    """A stream of Bronze rows without those seen before within the watermark: the same position, log time and payload."""
+    timed = bronze.withColumn("event_time", event_time(config, now)).withColumn("_payload", F.xxhash64("raw_payload")).withWatermark("event_time", f"{config.watermark_hours} hours")
+    return timed.dropDuplicatesWithinWatermark([*POSITION, "kafka_timestamp", "_payload"]).drop("_payload")
 
 
 def silver_events(
@@ -79,7 +79,7 @@ def silver_events(
             return
         rows = observed(validated(df.drop("event_time"), *dims(), config=config, now=now)).persist()
         try:
-            quarantined.insert_absent(quarantine(rows, now), batch=("events", n))
+            quarantined.insert_absent(quarantine(rows, now, ("kafka_timestamp",)), batch=("events", n))
             silver.upsert(valid(rows), ("events", n))
         finally:
             rows.unpersist()

@@ -21,7 +21,7 @@ def folder(tmp_path_factory):
     return str(out)
 
 
-@pytest.mark.parametrize("name", ["q14_merge_quarantine", "q15_reconcile_e2e"])
+@pytest.mark.parametrize("name", ["q14_merge_quarantine", "q15_reconcile_e2e", "q44_event_time_state"])
 def test_rows_that_share_a_position_all_stay(spark, folder, name):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
