@@ -3,7 +3,7 @@
 A meter's readings are put in order of time by the watermark: what lies behind
 it cannot change, so sessions close and readings are scored once it has passed them.
 State is a meter's open sessions, or its readings that still wait, the last one
-scored and the last few uses; timers let it go. A stream that is restarted on its
+scored and the last few uses; timers let it go, one at a time: the next one is set when it fires. A stream that is restarted on its
 checkpoint goes on with both, and its output is what the batch functions of
 ``plans.marts`` give for the same readings.
 """
@@ -60,17 +60,21 @@ class Sessions(StatefulProcessor):
             else:
                 merged.append([started, ended, n])
         self.open.put([tuple(x) for x in merged])
-        for _, ended, _ in merged:
-            self.handle.registerTimer(-(-(ended + self.gap) // 1000))
+        self._wake(merged)
         return iter(())
 
+    def _wake(self, held: list[list[int]]) -> None:
+        """When the first of the open sessions closes; they are in order of time."""
+        self.handle.registerTimer(-(-(held[0][1] + self.gap) // 1000))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark, held = timerValues.getCurrentWatermarkInMs() * 1000, self._held()
-        closed = [x for x in held if x[1] + self.gap <= mark]
+        closed, left = [x for x in held if x[1] + self.gap <= mark], [x for x in held if x[1] + self.gap > mark]
+        if left:
+            self._wake(left)
         if closed:
-            left = [tuple(x) for x in held if x[1] + self.gap > mark]
             if left:
-                self.open.put(left)
+                self.open.put([tuple(x) for x in left])
             else:
                 self.open.clear()
             yield _frame([(key[0], *x) for x in closed], "meter_id started ended n_rows")
@@ -98,9 +102,9 @@ class Alerts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         came = [(int(t), float(v)) for part in rows for t, v in zip(part["micros"], part["liters"], strict=True)]
-        self.waiting.appendList(came)
-        for t, _ in came:
-            self.handle.registerTimer(-(-t // 1000))
+        if came:
+            self.waiting.appendList(came)
+            self.handle.registerTimer(-(-min(came)[0] // 1000))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -130,8 +134,11 @@ class Alerts(StatefulProcessor):
                 self.waiting.clear()
         if before:
             self.before.update(before)
-            if not before[2]:
-                self.handle.registerTimer(max(-(-(before[0] + self.silence) // 1000), mark // 1000 + 1))
+        # the next one is that of the next reading, or of the silence if none waits
+        if later:
+            self.handle.registerTimer(-(-later[0][0] // 1000))
+        elif before and not before[2]:
+            self.handle.registerTimer(max(-(-(before[0] + self.silence) // 1000), mark // 1000 + 1))
         if out:
             yield _frame(out, "meter_id micros kind used_liters score")
 

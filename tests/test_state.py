@@ -3,6 +3,7 @@
 import random
 from datetime import UTC, datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from aquilith.plans import marts
 from aquilith.sources import fixtures
 from aquilith.sources.log import produce, replay_stream
 from aquilith.streaming import events
-from aquilith.streaming.state import HOUR, alert_stream, session_stream, state_store
+from aquilith.streaming.state import HOUR, Alerts, Sessions, alert_stream, session_stream, state_store
 
 SF = "/root/testdata/sf0.001"
 START = datetime(2024, 1, 1, tzinfo=UTC)
@@ -76,3 +77,60 @@ def test_sessions_and_alerts_of_shuffled_batches(spark, tmp_path, seed):
     after = {m: sorted(r[1] for r in rows if r[0] == m) for m in "abc"}
     silent = [(m, t) for m, times in after.items() for t, u in zip(times, [*times[1:], None], strict=True) if u is None or u - t >= timedelta(hours=3)]
     assert text((r.meter_id, r.reading_timestamp) for r in told if r.kind == "silent") == text((m, t.replace(tzinfo=None)) for m, t in silent)
+
+
+class Handle:
+    """A stand-in for a meter's state that counts its timers."""
+
+    def __init__(self):
+        self.timers, self.held = [], {}
+
+    def getListState(self, name, schema):  # noqa: N802
+        return Held(self.held, name)
+
+    getValueState = getListState  # noqa: N815
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+
+class Held:
+    def __init__(self, held, name):
+        self.held, self.name = held, name
+
+    def exists(self):
+        return self.name in self.held
+
+    def get(self):
+        return self.held[self.name]
+
+    def put(self, rows):
+        self.held[self.name] = rows
+
+    update = put
+
+    def appendList(self, rows):  # noqa: N802
+        self.held[self.name] = [*self.held.get(self.name, []), *rows]
+
+    def clear(self):
+        self.held.pop(self.name, None)
+
+
+class Mark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+
+@pytest.mark.parametrize("processor", [Sessions(HOUR), Alerts(1.5, 3, 1000 * HOUR)])
+def test_one_timer_waits_however_many_readings(processor):
+    handle = Handle()
+    processor.init(handle)
+    times = [2 * HOUR * n for n in range(1, 101)]
+    list(processor.handleInputRows(("m",), iter([pd.DataFrame({"micros": times, "liters": [1.0] * 100})]), Mark(0)))
+    assert len(handle.timers) == 1 and handle.timers[0] <= (times[0] + HOUR) // 1000
+    at, told = times[49] // 1000, list(processor.handleExpiredTimer(("m",), Mark(times[49] // 1000), None))
+    assert len(handle.timers) == 2 and at < handle.timers[1] <= (times[50] + HOUR) // 1000
+    assert not isinstance(processor, Sessions) or len(told[0]) == 49
