@@ -24,6 +24,7 @@ from ..operators.route import quarantine, valid
 from ..plans.reconcile import validated
 from ..schemas import BRONZE
 from ..sources.tables import Table
+from .state import state_store
 
 POSITION = ["kafka_partition", "kafka_offset"]
 
@@ -72,7 +73,10 @@ def silver_events(
     now: datetime | Column | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """A stream of Bronze rows into Silver and quarantine; ``dims`` is asked anew for every batch."""
+    """A stream of Bronze rows into Silver and quarantine; ``dims`` is asked anew for every batch.
+
+    Positions seen are kept in RocksDB, on disk, as a batch's own do not leave before the next one.
+    """
 
     def each(df: DataFrame, n: int) -> None:
         if silver.applied(("events", n)):
@@ -86,7 +90,8 @@ def silver_events(
 
     writer = deduplicated(bronze, config=config, now=now).writeStream.queryName("silver_events").option("checkpointLocation", checkpoint).foreachBatch(each)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=config.trigger)
-    return writer.start()
+    with state_store(bronze.sparkSession):
+        return writer.start()
 
 
 def state_of(query: StreamingQuery) -> dict[str, int]:

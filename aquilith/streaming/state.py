@@ -19,19 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: One bound for the native memory of all of an executor's stores, which otherwise grows with their number.
+_BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HOUR = 3_600_000_000
 
 
 @contextmanager
 def state_store(spark: SparkSession):
-    """The state store that arbitrary state needs, for queries started inside."""
-    before = spark.conf.get(_PROVIDER)
+    """The state store that arbitrary and large state need, on disk and bounded in memory, for queries started inside."""
+    before, bounded = spark.conf.get(_PROVIDER), spark.conf.get(_BOUNDED, "false")
     spark.conf.set(_PROVIDER, _ROCKS)
+    spark.conf.set(_BOUNDED, "true")
     try:
         yield
     finally:
         spark.conf.set(_PROVIDER, before)
+        spark.conf.set(_BOUNDED, bounded)
 
 
 def _frame(rows: list[tuple], columns: str) -> pd.DataFrame:
