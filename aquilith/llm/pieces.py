@@ -36,8 +36,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = re.compile(r" *[^ \n]+|\n| +")
 #: Chunks above this length go through a heap, one at a time, instead of rounds.
 LONG = 48
-#: Segmentations held at once by one worker.
-CACHE = 200_000
+#: Segmentations held at once by one worker, and without dropout, where no merges are kept with them.
+CACHE, CACHE_PLAIN = 200_000, 500_000
 _WORST = np.iinfo(np.int32).max
 
 
@@ -269,6 +269,18 @@ def slices(text: str, size: int = 1_000_000):
     yield text[start:]
 
 
+class _Numbers(dict):
+    """Numbers chunks as they are met, so that a known one costs a single look-up; ``new`` are those met since it was emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self)
+        self.new.append(chunk)
+        return n
+
+
 class Encoder:
     """Encodes texts of one vocabulary, seed and dropout; keeps segmentations without dropout.
 
@@ -280,7 +292,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}  # of a chunk, in what follows
+        self.number = _Numbers()  # of a chunk, in what follows
         self.plain: list[bytes] = []
         self.sums, self.hashes, self.ends = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(1, np.int64)
 
@@ -312,7 +324,6 @@ class Encoder:
     def _learn(self, chunks: list[str]) -> None:
         """Keeps the chunks' segmentations, and with dropout the merges that lead to them."""
         path: list | None = [] if self.dropout else None
-        self.number.update(zip(chunks, range(len(self.plain), len(self.plain) + len(chunks)), strict=True))
         self.plain += self.pieces.encode_chunks(chunks, path=path)
         if path is not None:
             own = np.concatenate([np.zeros(0, np.int32), *(o for o, _ in path)])
@@ -333,13 +344,13 @@ class Encoder:
         return np.flatnonzero(out)
 
     def _flush(self, work: list, out: list) -> None:
-        if len(self.number) > CACHE:
+        if len(self.number) > (CACHE if self.dropout else CACHE_PLAIN):
             self._clear()
         every = list(chain.from_iterable(w[3] for w in work))
-        new = list(set(every).difference(self.number))
-        if new:
-            self._learn(new)
         numbers = list(map(self.number.__getitem__, every))
+        if self.number.new:
+            self._learn(self.number.new)
+            self.number.new = []
         got = list(map(self.plain.__getitem__, numbers))
         if self.dropout and every:
             keys = np.concatenate([mix64(np.arange(n, n + len(c)).astype(np.uint64) + np.uint64(key), 74) for _, key, n, c in work])

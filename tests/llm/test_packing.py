@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from aquilith.llm import pieces
 from aquilith.llm.packing import best_fit_decreasing, matrix, pack_docs, write_packed
 from aquilith.llm.pieces import MODEL
 
@@ -93,3 +94,13 @@ def test_whole_query_equals_brute_force(spark):
         else:
             rooms.append(2048 - n)
     assert len(rooms) == QUERIES["op10_packing"](spark, folder).count()
+
+
+def test_a_large_vocabulary_is_segmented_once(monkeypatch):
+    """More words than a cache with dropout holds: without dropout none is segmented a second time."""
+    e, found = pieces.Encoder(), []
+    texts = [" ".join(f"w{i}" for i in range(at, at + 50_000)) for at in range(0, 250_000, 50_000)]
+    first = e.ids(texts, [0] * len(texts))
+    monkeypatch.setattr(e.pieces, "encode_chunks", lambda chunks, **_: found.extend(chunks) or [b""] * len(chunks))
+    assert e.ids(texts, [0] * len(texts)) == first
+    assert not found
