@@ -11,10 +11,11 @@ each into n2 second-level parts. With n1 (k2 + 1) > k some first-level part
 differs in at most k2 elements, so some choice of n2 - k2 of its second-level
 parts is equal in both sets: each such choice is a signature. A signature over
 an empty content says nothing and would gather unrelated sets, so a few more
-first-level parts are made (the band's slack) and empty ones are left out by
-sets that have at most that many parts with an empty choice: such a set still
-shares a non-empty one with every partner. Sets with more empties (few) keep
-all of theirs.
+first-level parts are made (the band's slack), and a set that is smaller than
+r differs from its partners in fewer elements than k, so more of its parts are
+equal up to k2 (``spare``). Empty choices are left out by sets that have them
+in no more parts than they have to spare: such a set still shares a non-empty
+one with every partner. Sets with more empties (few) keep all of theirs.
 
 Signatures are exchanged and pairs checked by ``simjoin``.
 """
@@ -64,7 +65,16 @@ def plan(high: int, threshold: int, n2: int, k2: int) -> tuple[int, int, int, in
     return least + slack, n2, k2, slack
 
 
-def signatures(s: np.ndarray, band: int, n1: int, n2: int, k2: int, slack: int) -> np.ndarray:
+def spare(size: int, high: int, threshold: int, k2: int, slack: int) -> int:
+    """How many of its parts a set can do without in the band of ``high``.
+
+    Its partners there have at most ``high`` elements, and 100 / threshold times its own.
+    """
+    most = (size + min(high, 100 * size // threshold)) * (100 - threshold) // (100 + threshold)
+    return slack + 2 * high * (100 - threshold) // (100 + threshold) // (k2 + 1) - most // (k2 + 1)
+
+
+def signatures(s: np.ndarray, band: int, n1: int, n2: int, k2: int, spared: int) -> np.ndarray:
     """The PartEnum signatures of a set for one band."""
     spread = mix64(s, 21)
     cell = ((spread >> np.uint64(33)) % np.uint64(n1 * n2)).astype(np.int64)
@@ -78,7 +88,7 @@ def signatures(s: np.ndarray, band: int, n1: int, n2: int, k2: int, slack: int)
         total = content[:, choice].sum(axis=1, dtype=np.uint64)
         out.append(mix64(total + mix64(part + np.uint64(j), 23), band))
         empty.append(~filled[:, choice].any(axis=1))
-    if 0 < np.any(empty, axis=0).sum() <= slack:
+    if 0 < np.any(empty, axis=0).sum() <= spared:
         return np.concatenate(out)[~np.concatenate(empty)]
     return np.concatenate(out)
 
@@ -94,7 +104,11 @@ class PartEnum(Family):
 
     def signatures(self, s: np.ndarray) -> list[np.ndarray]:
         levels = bands_up_to(len(s), self.threshold)
-        return [signatures(s, at, *plan(levels[at][1], self.threshold, self.n2, self.k2)) for at in (len(levels) - 2, len(levels) - 1)]
+        out = []
+        for at in (len(levels) - 2, len(levels) - 1):
+            n1, n2, k2, slack = plan(levels[at][1], self.threshold, self.n2, self.k2)
+            out.append(signatures(s, at, n1, n2, k2, spare(len(s), levels[at][1], self.threshold, k2, slack)))
+        return out
 
 
 def jaccard_components(

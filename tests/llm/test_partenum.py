@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aquilith.llm.partenum import jaccard_components, one_of_each
+from aquilith.llm.partenum import PartEnum, jaccard_components, one_of_each
 
 
 def brute(rows, n, threshold):
@@ -155,3 +156,31 @@ def test_intermediate_tables_go(spark, documents, tmp_path):
 def test_an_id_column_with_a_dot(documents):
     docs = documents([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words are here and there")]).withColumnRenamed("doc_id", "doc.id")
     assert sorted(r["doc.id"] for r in one_of_each(docs, id_col="doc.id").collect()) == [1, 3]
+
+
+def sets_of(size, other, both, rng):
+    """Two sets of the sizes given with as many elements in common."""
+    x = np.array(rng.sample(range(1 << 62), size + other - both), np.uint64)
+    return np.sort(x[:size]), np.sort(x[size - both :])
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 90])
+def test_sets_at_the_threshold_share_a_signature(threshold):
+    family, rng = PartEnum(5, threshold), random.Random(threshold)
+    for _ in range(400):
+        size = int(10 ** rng.uniform(0, 3.3))
+        other = rng.randint(-(-threshold * size // 100), 100 * size // threshold)
+        both = -(-threshold * (size + other) // (100 + threshold))  # least that links
+        if both > min(size, other):
+            continue
+        a, b = (np.concatenate(family.signatures(s)) for s in sets_of(size, other, both, rng))
+        assert len(np.intersect1d(a, b)), (size, other, both)
+
+
+def test_unrelated_sets_share_no_signature():
+    """Sets at the lower end of a band leave out their empty choices too, which would gather all of them."""
+    family, rng = PartEnum(5, 80), random.Random(1)
+    for size in (300, 450, 1000, 3000):
+        found = [np.unique(np.concatenate(family.signatures(sets_of(size + i, 0, 0, rng)[0]))) for i in range(0, size // 4, size // 16)]
+        every = np.concatenate(found)
+        assert len(np.unique(every)) == len(every), size
