@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, binary_values, hash_words, mix64, partitions
+from .common import Workspace, batches_of, binary_values, mix64, partitions
 from .simjoin import Family, cell_of, components, set_key
 
 LEAST = 4
@@ -39,33 +39,101 @@ ANCHORS = (
 ).split()
 
 
+#: What is cut off a word's ends, and what a byte is: 0 white space, 1 such a mark, 2 anything else.
+MARKS = b".,;:!?\"'()[]"
+_KIND = np.full(256, 2, np.uint8)
+_KIND[list(b" \t\n\v\f\r")], _KIND[list(MARKS)] = 0, 1
+#: A word's hash is the sum of its bytes' values, each times an odd factor of its place.
+_BYTE, _FACTOR = mix64(np.arange(256, dtype=np.uint64), 58), mix64(np.arange(64, dtype=np.uint64), 59) | np.uint64(1)
+#: Bytes whose words are hashed at once.
+BLOCK = 1_000_000
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of a text's words without marks at their ends, A-Z lower-cased, and where the words begin.
+
+    A word of marks alone is an empty one.
+    """
+    text, out, start = text.lower(), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    while start < len(text):
+        stop = start + BLOCK
+        while stop < len(text) and _KIND[text[stop]]:
+            stop += 1
+        h, begin = _hashed(np.frombuffer(text, np.uint8)[start:stop])
+        out.append((h, begin + start))
+        start = stop
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _hashed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kind = _KIND[data]
+    edge = np.flatnonzero(np.diff(kind > 0, prepend=False, append=False))
+    begin, end = edge[::2], edge[1::2]
+    core = np.flatnonzero(kind == 2)
+    before = np.concatenate([[0], np.cumsum(kind == 2)])
+    least, most = before[begin], before[end]
+    out = np.zeros(len(begin), np.uint64)
+    full = np.flatnonzero(most > least)
+    if len(full):
+        first = core[least[full]]
+        length = core[most[full] - 1] + 1 - first
+        at = np.cumsum(length) - length
+        place = np.arange(at[-1] + length[-1]) - np.repeat(at, length)
+        longest = int(length.max())
+        factor = _FACTOR if longest <= len(_FACTOR) else mix64(np.arange(longest, dtype=np.uint64), 59) | np.uint64(1)
+        out[full] = np.add.reduceat(_BYTE[data[place + np.repeat(first, length)]] * factor[place], at) + length.astype(np.uint64)
+    return mix64(out, 60), begin
+
+
 def anchor_hashes() -> np.ndarray:
-    return np.unique(hash_words([w.encode() for w in ANCHORS]))
+    return np.unique(word_hashes(" ".join(ANCHORS).encode())[0])
 
 
 def spots(text: bytes, anchors: np.ndarray, chain: int, step: int) -> np.ndarray:
     """Sorted distinct 32-bit hashes of a text's spots."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint32)
-    h = hash_words([w.strip(b".,;:!?\"'()[]") for w in words])
+    return spots_of([text], anchors, chain, step)[0]
+
+
+def spots_of(texts: list[bytes | None], anchors: np.ndarray, chain: int, step: int) -> list[np.ndarray]:
+    """The spots of each text; many texts are read at once, as short ones cost little more than the calls."""
+    out = []
+    for span in batches_of(texts, BLOCK):
+        out += _spots([texts[i] or b"" for i in span], anchors, chain, step)
+    return out
+
+
+def _spots(texts: list[bytes], anchors: np.ndarray, chain: int, step: int) -> list[np.ndarray]:
+    h, begin = word_hashes(b" ".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    own = np.searchsorted(ends, begin, side="right")
     at = np.searchsorted(anchors, h)
     at[at == len(anchors)] = 0
     common = anchors[at] == h
-    out = _chains(h, np.flatnonzero(common), np.flatnonzero(~common), chain, step)
-    if len(out) < LEAST:
-        every = np.arange(len(h))
-        out = _chains(h, every, every, min(chain, max(1, len(h) - 1)), 1) if len(h) > 1 else mix64(h, 51)
-    return np.unique((out >> np.uint64(32)).astype(np.uint32))
-
-
-def _chains(h: np.ndarray, anchor: np.ndarray, content: np.ndarray, chain: int, step: int) -> np.ndarray:
-    start = np.searchsorted(content, anchor, side="right")
-    ok = start + (chain - 1) * step < len(content)
-    out, start = mix64(h[anchor[ok]], 52), start[ok]
+    anchor = np.flatnonzero(common)
+    out, of = _chains(h, own, anchor, np.flatnonzero(~common), np.cumsum(~common)[anchor], chain, step)
+    few = np.bincount(of, minlength=len(texts)) < LEAST
+    parts, owners = [out[~few[of]]], [of[~few[of]]]
+    bound = np.searchsorted(own, np.arange(len(texts) + 1))
+    for i in np.flatnonzero(few & (np.diff(bound) > 0)).tolist():
+        mine = h[bound[i] : bound[i + 1]]
+        every = np.arange(len(mine))
+        parts.append(_chains(mine, 0 * every, every, every, every + 1, min(chain, max(1, len(mine) - 1)), 1)[0] if len(mine) > 1 else mix64(mine, 51))
+        owners.append(np.full(len(parts[-1]), i))
+    found = np.unique(np.concatenate(owners).astype(np.uint64) << np.uint64(32) | np.concatenate(parts) >> np.uint64(32))
+    cuts = np.searchsorted(found, np.arange(1, len(texts), dtype=np.uint64) << np.uint64(32))
+    return np.split(found.astype(np.uint32), cuts)
+
+
+def _chains(h: np.ndarray, own: np.ndarray, anchor: np.ndarray, content: np.ndarray, start: np.ndarray, chain: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the chains that end in their anchor's text, and the texts; ``start`` is the first content word behind an anchor."""
+    last = start + (chain - 1) * step
+    ok = np.flatnonzero(last < len(content))
+    ok = ok[own[content[last[ok]]] == own[anchor[ok]]]
+    anchor, start = anchor[ok], start[ok]
+    out = mix64(h[anchor], 52)
     for i in range(chain):
         out = mix64(out + h[content[start + i * step]], 53 + i)
-    return out
+    return out, own[anchor]
 
 
 def written(s: np.ndarray) -> str:
@@ -103,8 +171,9 @@ class SpotSigs(Family):
     def __init__(self, threshold: int, chain: int, step: int, counts: np.ndarray | None = None):
         self.threshold, self.chain, self.step, self.counts, self.anchors = threshold, chain, step, counts, anchor_hashes()
 
-    def set_of(self, text: bytes | None) -> np.ndarray:
-        return spots(text, self.anchors, self.chain, self.step).astype(np.uint64) if text else np.empty(0, np.uint64)
+    def sets_of(self, texts: list[bytes | None]):
+        for s in spots_of(texts, self.anchors, self.chain, self.step):
+            yield s.astype(np.uint64)
 
     def with_counts(self, counts: np.ndarray) -> SpotSigs:
         return SpotSigs(self.threshold, self.chain, self.step, counts)
@@ -128,26 +197,27 @@ _NAMES = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
 def _rows(chain: int, step: int, threshold: float):
     anchors = anchor_hashes()
 
-    def sig(t: str) -> np.ndarray:
-        return spots(t.encode("utf-8", "replace"), anchors, chain, step)
+    def sigs(texts: list[bytes]) -> list[np.ndarray]:
+        return spots_of(texts, anchors, chain, step)
 
     def run(batches):
         held = None  # the row that waits for the next one: (bucket, id, text, spots, component)
         key, component = None, None  # of the component row that came last
         for b in batches:
             buckets, kinds, keys = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(4).to_pylist()
-            ids, texts, others = b.column(2), binary_values(b.column(3)), b.column(5)
-            done = []
+            ids, texts, roots = b.column(2), binary_values(b.column(3)), b.column(5)
+            done, found = [], sigs(texts)
             for i, (bucket, kind) in enumerate(zip(buckets, kinds, strict=True)):
                 if kind == COMPONENT:
-                    key, component = keys[i], others[i]
+                    key, component = keys[i], roots[i]
                     continue
                 text = (texts[i] or b"").decode("utf-8", "replace")
-                mine = sig(text)
+                mine = found[i]
                 if held is not None and held[0] == bucket:
                     done.append((held, text, mine))
                 held = None if kind == TAIL else (bucket, ids[i], text, mine, component if keys[i] == key else ids[i])
-            out = [_row(*x, sig, threshold) for x in done]
+            others = [edited(held[2], text).encode("utf-8", "replace") for held, text, _ in done]
+            out = [_row(row, other, s, following, threshold) for (row, _, following), other, s in zip(done, others, sigs(others), strict=True)]
             columns = list(zip(*out, strict=True)) if out else [[]] * len(_NAMES)
             types = [ids.type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), ids.type]
             yield pa.RecordBatch.from_arrays([pa.array([v.as_py() if isinstance(v, pa.Scalar) else v for v in c], k) for c, k in zip(columns, types, strict=True)], _NAMES)
@@ -155,14 +225,13 @@ def _rows(chain: int, step: int, threshold: float):
     return run
 
 
-def _row(held, following: str, next_spots: np.ndarray, sig, threshold: float):
+def _row(held, other: bytes, changed: np.ndarray, next_spots: np.ndarray, threshold: float):
+    """The row held, with its edited text and that one's spots, and the next document's."""
     _, row_id, text, mine, component = held
-    other = edited(text, following)
-    changed = sig(other)
     return (
         row_id,
         len(text),
-        hashlib.sha256(other.encode("utf-8", "replace")).hexdigest(),
+        hashlib.sha256(other).hexdigest(),
         written(mine),
         written(changed),
         likeness(mine, changed),

@@ -60,6 +60,10 @@ class Family:
         """Sorted distinct unsigned longs; none for a text that links with nothing."""
         raise NotImplementedError
 
+    def sets_of(self, texts: list[bytes | None]):
+        """The sets of several texts, in their order."""
+        return map(self.set_of, texts)
+
     def signatures(self, s: np.ndarray) -> list[np.ndarray]:
         raise NotImplementedError
 
@@ -119,8 +123,7 @@ def _keys(family: Family, id_type):
         names = ["id", *(x.split()[0] for x in _KEYED.split(", "))]
         for b in small(batches, 1):
             kind, sizes, keys = b.column(0).type, [], []
-            for t in binary_values(b.column(1)):
-                s = family.set_of(t)
+            for s in family.sets_of(binary_values(b.column(1))):
                 sizes.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
                 if family.counted:
@@ -250,8 +253,7 @@ def _signed(family: Family, buckets: int, hot: int):
     def run(batches):
         out = _Shipment(buckets, hot)
         for b in small(batches, 0):
-            for text in binary_values(b.column(0)):
-                s = family.set_of(text)
+            for s in family.sets_of(binary_values(b.column(0))):
                 if not len(s) or (key := set_key(s)) in out.seen:
                     continue
                 out.add(key, family.signatures(s))
@@ -450,8 +452,7 @@ def _sets(family: Family):
             texts = binary_values(b.column(0))
             for span in batches_of(texts, 4_000_000):
                 done, keys, items, bits, wides = set(), [], [], [], []
-                for i in span:
-                    s = family.set_of(texts[i])
+                for s in family.sets_of([texts[i] for i in span]):
                     if len(s) and (key := set_key(s)) not in done:
                         done.add(key)
                         keys.append(key)

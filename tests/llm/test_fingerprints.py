@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from aquilith.llm.fingerprints import ANCHORS, anchor_hashes, edited, fingerprint_docs, length_partition, likeness, read, spots
+from aquilith.llm import fingerprints
+from aquilith.llm.fingerprints import ANCHORS, SpotSigs, anchor_hashes, edited, fingerprint_docs, length_partition, likeness, read, spots, spots_of
 
 
 def plain_spots(text, chain=3):
@@ -135,3 +136,16 @@ def test_string_ids_hot_ids_and_long_texts(documents):
     top, after = [r for r in order if r[0] == "é-7"][0], [t for i, t in order if i == "é-2"]
     mine = next(s for i, n, s in got if i == top[0])
     assert mine in {hashlib.sha256(edited(top[1], t).encode()).hexdigest() for t in after}
+
+
+def test_many_texts_at_once_equal_one_by_one(monkeypatch):
+    """Texts read together share no spots, however they are cut into blocks."""
+    rng = random.Random(5)
+    words = [*ANCHORS[:12], "Water", "(meter)", "leak,", "...", "\xe9t\xe9", "x" * 90, *(f"w{i}" for i in range(30))]
+    texts = [None, b"", b" \n", *(rng.choice(" \n\t").join(rng.choice(words) for _ in range(rng.choice([1, 2, 5, 40, 300]))).encode() for _ in range(60))]
+    anchors = anchor_hashes()
+    alone = [spots(t or b"", anchors, 3, 1).tolist() for t in texts]
+    assert [s.tolist() for s in spots_of(texts, anchors, 3, 1)] == alone
+    monkeypatch.setattr(fingerprints, "BLOCK", 50)
+    assert [s.tolist() for s in spots_of(texts, anchors, 3, 1)] == alone
+    assert [s.tolist() for s in SpotSigs(80, 3, 1).sets_of(texts)] == alone
